@@ -128,7 +128,6 @@ PORTFOLIO = [
     ("msisdn", "bigint", "msisdn", "bigint"),
 ]
 SUBSCRIBED_AFTER = "2018-01-01 00:00:00"
-ROW_LIMIT = 10_000
 
 
 def enabled_settings(settings: DataFrame, gateway: str, country: str) -> DataFrame:
@@ -139,10 +138,11 @@ def enabled_settings(settings: DataFrame, gateway: str, country: str) -> DataFra
     )
 
 
-def recent_customers(customers: DataFrame, limit: int | None = ROW_LIMIT) -> DataFrame:
-    """Mapped subscriptions after the start date; the limit takes the lowest row ids.
+def recent_customers(customers: DataFrame, limit: int | None = None) -> DataFrame:
+    """Mapped subscriptions after the start date.
 
-    `limit=None` loads them all.
+    A trial load may be limited; it then takes the lowest row ids, so that it can be
+    repeated.
     """
     recent = (
         apply_mapping(customers, CUSTOMERS)
@@ -173,7 +173,7 @@ def first_billings(info: DataFrame) -> DataFrame:
 
 def sales_portfolio(
     customers: DataFrame, data: DataFrame, info: DataFrame, offers: DataFrame, affiliates: DataFrame,
-    flows: DataFrame, gateway: str, country: str, run_date: str, limit: int | None = ROW_LIMIT,
+    flows: DataFrame, gateway: str, country: str, run_date: str, limit: int | None = None,
 ) -> DataFrame:
     """The portfolio's 52 columns, ready for the warehouse.
 
