@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import catalogues, cleansing, feeds, files, joins, rollups, sales, series, streams, tickets
+from . import catalogues, cleansing, feeds, files, joins, sales, series, streams, tickets
 
-MODULES = [tickets, sales, rollups, joins, cleansing, files, feeds, catalogues, series, streams]
+MODULES = [tickets, sales, joins, cleansing, files, feeds, catalogues, series, streams]
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
