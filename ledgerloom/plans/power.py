@@ -23,7 +23,8 @@ def wide_bins(readings: DataFrame, controllers: list[int] = CONTROLLERS) -> Data
     `readings` holds (controller, ts, reading). `polled_at` is the latest poll in
     the bin, whose day names the output folder.
     """
-    latest = last_per_bin(readings, ["controller"], "ts", ["ts"], ["ts", "reading"])
+    wanted = readings.where(F.col("controller").isin(controllers))
+    latest = last_per_bin(wanted, ["controller"], "ts", ["ts"], ["ts", "reading"])
     value = {
         f"c{c}": F.coalesce(
             F.max(F.when(F.col("controller") == c, F.col("reading").try_cast("double"))), F.lit(0.0)

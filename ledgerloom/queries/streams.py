@@ -1,2 +1,131 @@
-QUERIES: dict = {}
-ORACLES: dict = {}
+"""Streams over the events, run until what has arrived is processed."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..plans.power import CONTROLLERS, power_output
+from ..plans.telemetry import delivery_text, flat_messages
+from ..session import scratch_dir
+from ..streaming.runs import file_stream, finish, to_table
+from ..streaming.telemetry import alarm_stream, bin_changes, carry_forward_stream, closed_bins
+from .base import table, with_inputs
+from .series import BIN, CARRY_SQL, READINGS, SPARSE, power_sql
+
+
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return file_stream(spark, sf_dir, table(spark, sf_dir, "events").schema, name_filter="events.parquet")
+
+
+def _with_time(stream: DataFrame) -> DataFrame:
+    """A watermark needs a timestamp with a zone; the session's is UTC."""
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _derived(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    return spark.sql(text, events=_arriving(spark, sf_dir))
+
+
+def _landed(spark: SparkSession, stream: DataFrame, label: str, partition_by: tuple = ()) -> str:
+    path = scratch_dir(spark, label)
+    finish(to_table(stream, f"{path}/table", f"{path}/checkpoint", partition_by))
+    return f"{path}/table"
+
+
+def _plain_bin(df: DataFrame) -> DataFrame:
+    return df.withColumn("bin", F.col("bin").cast("timestamp_ntz"))
+
+
+def stream_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    total = F.sum(F.col("value").cast("decimal(18,4)"))
+    bins = closed_bins(_with_time(_arriving(spark, sf_dir)), ["user_id"], "ts", {"total": total, "n": F.count("*")})
+    landed = spark.read.parquet(_landed(spark, bins, "stream-bins"))
+    return _plain_bin(landed).withColumn("total", F.col("total").cast("double"))
+
+
+def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins close in one stream; a second one keeps every device's last bin as state."""
+    last = F.max_by("value", F.struct("ts", "event_id"))
+    bins = closed_bins(_with_time(_arriving(spark, sf_dir)), ["user_id"], "ts", {"value": last})
+    path = _landed(spark, bins, "stream-last")
+    changes = bin_changes(file_stream(spark, path, spark.read.parquet(path).schema), "user_id", ["value"])
+    return spark.read.parquet(_landed(spark, changes, "stream-delta"))
+
+
+def stream_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = _derived(spark, sf_dir, SPARSE)
+    path = scratch_dir(spark, "stream-carry")
+    out = f"{path}/out"
+    carry_forward_stream(
+        messages, "device", ["ts", "event_id"], ["value", "detail"], out, f"{path}/state", f"{path}/checkpoint"
+    )
+    return spark.read.schema(messages.schema).parquet(f"{out}/batch=*")
+
+
+def stream_power(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide bins close in one stream; a second one writes their changes by the poll's day."""
+    names = [f"c{c}" for c in CONTROLLERS]
+    latest = {
+        f"c{c}": F.coalesce(
+            F.max_by("reading", F.when(F.col("controller") == c, F.col("ts"))).try_cast("double"), F.lit(0.0)
+        )
+        for c in CONTROLLERS
+    }
+    readings = _with_time(_derived(spark, sf_dir, READINGS)).where(F.col("controller").isin(CONTROLLERS))
+    bins = closed_bins(readings, [], "ts", {**latest, "polled_at": F.max("ts").cast("timestamp_ntz")})
+    path = _landed(spark, bins, "power-bins")
+    wide = file_stream(spark, path, spark.read.parquet(path).schema).withColumn("site", F.lit(1))
+    changes = bin_changes(wide, "site", names, ["polled_at"]).select(
+        "bin", "polled_at", *[F.col(f"{n}_change").alias(n) for n in names]
+    )
+    output = power_output(changes)
+    landed = _landed(spark, output, "power", ("year", "month", "day"))
+    return spark.read.schema(output.schema).parquet(landed)
+
+
+def stream_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alarms = alarm_stream(_with_time(_arriving(spark, sf_dir)), "event_type", "ts", F.col("user_id") % 3)
+    return spark.read.parquet(_landed(spark, alarms, "stream-alarm"))
+
+
+BODIES = """SELECT '{{"Resources":{{"ID":"' || CAST(user_id AS STRING) || '","Created":"' ||
+    replace(substr(CAST(ts AS STRING), 1, 19), ' ', 'T') || '.000Z","Data":{{"energy":{{"unit":"kWh","value":' ||
+    CAST(event_id AS STRING) || '.5}}}},"Topic":"' || event_type || '"}}}}' AS body FROM {events}"""
+
+
+def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = flat_messages(_derived(spark, sf_dir, BODIES), "body")
+    sent = flat.select("ResourcesID", "created", delivery_text(flat).alias("text"))
+    return spark.read.parquet(_landed(spark, sent, "stream-messages"))
+
+
+SHIFTED = "(date_trunc('second', ts) + INTERVAL 8 HOUR)"
+QUERIES = {
+    "stream_bins": stream_bins,
+    "stream_delta": stream_delta,
+    "stream_carry": stream_carry,
+    "stream_power": stream_power,
+    "stream_alarm": stream_alarm,
+    "stream_messages": stream_messages,
+}
+CLOSED = "<= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
+ORACLES = {
+    "stream_bins": f"""SELECT user_id, {BIN} AS bin, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total,
+        COUNT(*) AS n FROM events WHERE {BIN} {CLOSED} GROUP BY ALL""",
+    "stream_delta": f"""SELECT user_id, bin, value, CASE WHEN bin - lag(bin) OVER w = INTERVAL 10 MINUTE
+        THEN round(value - lag(value) OVER w, 2) ELSE 0.0 END AS value_change
+        FROM (SELECT user_id, {BIN} AS bin, arg_max(value, event_id) AS value FROM events
+          WHERE {BIN} {CLOSED} GROUP BY ALL) WINDOW w AS (PARTITION BY user_id ORDER BY bin)""",
+    "stream_carry": with_inputs(CARRY_SQL, src=SPARSE),
+    "stream_power": power_sql(closed_only=True),
+    "stream_alarm": f"""SELECT event_type, CAST(ts AS DATE) AS day, CAST(sum(user_id % 3) AS BIGINT) AS total FROM events
+        WHERE CAST(ts AS DATE) + INTERVAL 1 DAY {CLOSED} GROUP BY ALL HAVING sum(user_id % 3) >= 10""",
+    "stream_messages": f"""SELECT CAST(user_id AS VARCHAR) AS "ResourcesID", {SHIFTED} AS created,
+        '&DeviceID=' || CAST(user_id AS VARCHAR) || '&DateTimestamp=' ||
+        strftime(date_trunc('hour', {SHIFTED}) + to_minutes(CAST((floor(minute(ts) / 10) + 1) * 10 AS BIGINT))
+          + to_seconds(CAST(floor(second(ts)) AS BIGINT)), '%Y-%m-%dT%H:%M:%S')
+        || '&ms1=kWh&ms2=' || CAST(event_id AS VARCHAR) || '.5'
+        || (SELECT string_agg('&ms' || CAST(i AS VARCHAR) || '=NULL', '' ORDER BY i) FROM range(3, 49) t(i))
+        || '&ms49=' || event_type AS text FROM events""",
+}

@@ -13,8 +13,12 @@ def portfolio_table(gateway: str, country: str) -> str:
     return f"gateway_cust_portfolio_{gateway}_{country}"
 
 
-def append_table(df: DataFrame, table: str) -> None:
-    df.write.mode("append").saveAsTable(table)
+def append_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Appends to a saved table, which is made at `path` if it does not exist."""
+    writer = df.write.mode("append")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, **properties: str) -> None:

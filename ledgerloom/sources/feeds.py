@@ -21,13 +21,16 @@ CONTROLLER_RESPONSE = (
 REPORT_PAGE = "page_index long, columnHeaders array<struct<name:string>>, rows array<array<string>>"
 
 
-def json_pages(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Landed pages, each a JSON array of records.
+def json_pages(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, one_per_file: bool = False
+) -> DataFrame:
+    """Landed pages, each a JSON array of records, one page per line.
 
     Records may have differing keys: fields are matched by name and absent ones are
-    NULL. Without a schema Spark reads the pages once more to find it.
+    NULL. Without a schema Spark reads the pages once more to find it. Pages that
+    span lines need `one_per_file`; such files cannot be split.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", one_per_file)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)

@@ -67,7 +67,7 @@ def sheet_export(
 
 
 def text_lines(spark: SparkSession, path: str, containing: str | None = None) -> DataFrame:
-    lines = spark.read.text(path)
+    lines = spark.read.option("lineSep", "\n").text(path)
     return lines.where(F.col("value").contains(containing)) if containing else lines
 
 

@@ -11,10 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None,
+    name_filter: str = "*.parquet",
 ) -> DataFrame:
     """Parquet files of a folder as they arrive. The rate limit bounds a micro-batch."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", name_filter)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)

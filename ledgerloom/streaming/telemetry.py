@@ -33,37 +33,42 @@ def closed_bins(
     )
 
 
-def bin_changes(bins: DataFrame, device: str, minutes: int = 10, digits: int = 2) -> DataFrame:
-    """Change of `value` since the bin before, per device; 0.00 where that bin is absent.
+def bin_changes(
+    bins: DataFrame, device: str, values: Sequence[str], kept: Sequence[str] = (), minutes: int = 10,
+    digits: int = 2,
+) -> DataFrame:
+    """Adds `<value>_change` since the bin before, per device; 0.00 where that bin is absent.
 
-    `bins` is a stream of closed bins (device, bin, value). A device's bins arrive
-    in order from batch to batch, since they close in order, and are sorted inside
-    a batch. The state is the last bin and its value.
+    `bins` is a stream of closed bins, one row per (device, bin). A device's bins
+    arrive in order from batch to batch, since they close in order, and are sorted
+    inside a batch. The state is the last bin with its values.
     """
     width = pd.Timedelta(minutes=minutes)
+    values, kept = list(values), list(kept)
 
     def changes(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(parts)).sort_values("bin", ignore_index=True)
-        last_bin, last_value = (pd.Timestamp(state.get[0], unit="us"), state.get[1]) if state.exists else (
-            pd.NaT, float("nan"),
-        )
-        before_bin = rows["bin"].shift(fill_value=last_bin)
-        before_value = rows["value"].shift(fill_value=last_value)
-        change = (rows["value"] - before_value).round(digits)
-        rows["change"] = change.where(rows["bin"] - before_bin == width, 0.0)
+        held = state.get if state.exists else None
+        before_bin = rows["bin"].shift(fill_value=pd.Timestamp(held[0], unit="us") if held else pd.NaT)
+        neighbour = rows["bin"] - before_bin == width
+        for i, v in enumerate(values, start=1):
+            before = rows[v].shift(fill_value=held[i] if held else float("nan"))
+            rows[f"{v}_change"] = (rows[v] - before).round(digits).where(neighbour, 0.0)
         end = rows.iloc[-1]
-        state.update((int(end["bin"].value // 1000), float(end["value"])))
-        yield pd.DataFrame(
-            {device: key[0], "bin": rows["bin"], "value": rows["value"], "change": rows["change"]}
-        )
+        state.update((int(end["bin"].value // 1000), *[float(end[v]) for v in values]))
+        yield rows[[device, "bin", *kept, *values, *[f"{v}_change" for v in values]]]
 
-    kind = bins.schema[device].dataType.simpleString()
     # Bins are zone-free here, so the worker's clock plays no part.
-    plain = bins.select(device, F.col("bin").cast("timestamp_ntz").alias("bin"), F.col("value").cast("double"))
+    plain = bins.select(
+        device, F.col("bin").cast("timestamp_ntz").alias("bin"), *kept,
+        *[F.col(v).cast("double").alias(v) for v in values],
+    )
+    reals = [f"{v} double" for v in values]
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields]
     return plain.groupBy(device).applyInPandasWithState(
         changes,
-        outputStructType=f"{device} {kind}, bin timestamp_ntz, value double, change double",
-        stateStructType="bin long, value double",
+        outputStructType=", ".join([*fields, *[f"{v}_change double" for v in values]]),
+        stateStructType=", ".join(["bin long", *reals]),
         outputMode="append",
         timeoutConf="NoTimeout",
     )
