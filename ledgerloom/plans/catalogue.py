@@ -157,7 +157,9 @@ def product_departments(rows: DataFrame, departments: DataFrame, added: DataFram
         departments.where(F.col("parentId") == ROOT).select("title", "departmentId"), ["title"], ["departmentId"]
     ).unionByName(added.select("title", "departmentId"))
     grouped = keep_matches(rows, departments.select(F.col("title").alias("sub_department")), "sub_department")
-    joined = grouped.join(roots, F.col("department") == F.col("title")).select("departmentId", "productId")
+    joined = grouped.join(roots.withColumnRenamed("title", "department"), "department").select(
+        "departmentId", "productId"
+    )
     return joined.unionByName(added.select("departmentId", "productId")).distinct()
 
 
