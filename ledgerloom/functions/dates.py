@@ -8,40 +8,49 @@ from pyspark.sql import functions as F
 from .casts import ColumnOrName, column
 
 # Text layouts.
-ISO_DATE = "yyyy-M-d"
 DAY_FIRST = "d/M/yyyy"
 MONTH_FIRST = "M/d/yyyy"
-TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 ISO_STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 YEAR_END_SUFFIX = "-12-31T23:59:59.999Z"
+ISO_DATE_PATTERN = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+SLASHED_PATTERN = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+TIMESTAMP_PATTERN = (
+    "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,6})?$"
+)
 
+# Texts are told apart by a pattern first and parsed by a cast where that can read
+# the layout. A failing pattern costs far less than a failing parse, and the cast
+# less than a formatter.
 
-def parse_timestamp(c: ColumnOrName, layout: str = TIMESTAMP_TEXT) -> Column:
-    """Text to timestamp; NULL and unparsable text give NULL."""
-    return F.try_to_timestamp(column(c), F.lit(layout)).cast("timestamp_ntz")
 
+def parse_timestamp(c: ColumnOrName) -> Column:
+    """`Y-m-d H:M:S` text with up to six fraction digits; any other text gives NULL."""
+    c = column(c)
+    return F.when(c.rlike(TIMESTAMP_PATTERN), c.try_cast("timestamp_ntz"))
 
-def parse_date(c: ColumnOrName, layout: str) -> Column:
-    return parse_timestamp(c, layout).cast("date")
 
+def parse_iso_date(c: ColumnOrName) -> Column:
+    c = column(c)
+    return F.when(c.rlike(ISO_DATE_PATTERN), c.try_cast("date"))
 
-def mixed_layout_timestamp(c: ColumnOrName) -> Column:
-    """A column holding `Y-m-d` and `d/m/Y` texts; the layout decides, else NULL."""
+
+def _slashed_date(c: ColumnOrName, layout: str) -> Column:
     c = column(c)
-    return (
-        F.when(c.like("%-%-%"), parse_timestamp(c, ISO_DATE))
-        .when(c.like("%/%/%"), parse_timestamp(c, DAY_FIRST))
-    )
+    return F.when(c.rlike(SLASHED_PATTERN), F.try_to_timestamp(c, F.lit(layout)).cast("date"))
+
+
+def day_first_date(c: ColumnOrName) -> Column:
+    """`d/m/Y` text, with or without leading zeros, to a date."""
+    return _slashed_date(c, DAY_FIRST)
 
 
 def mixed_layout_date(c: ColumnOrName) -> Column:
-    return mixed_layout_timestamp(c).cast("date")
+    """A column holding `Y-m-d` and `d/m/Y` texts; the layout decides, else NULL."""
+    return F.coalesce(parse_iso_date(c), day_first_date(c))
 
 
-def dashed_timestamp(c: ColumnOrName) -> Column:
-    """Timestamp text with dashes; any other layout gives NULL."""
-    c = column(c)
-    return F.when(c.like("%-%-%"), parse_timestamp(c))
+def mixed_layout_timestamp(c: ColumnOrName) -> Column:
+    return mixed_layout_date(c).cast("timestamp_ntz")
 
 
 def date_of_text(c: ColumnOrName, length: int = 26) -> Column:
@@ -49,14 +58,11 @@ def date_of_text(c: ColumnOrName, length: int = 26) -> Column:
     return parse_timestamp(F.substring(column(c), 1, length)).cast("date")
 
 
-def day_first_date(c: ColumnOrName) -> Column:
-    return parse_date(c, DAY_FIRST)
-
-
 def month_first_iso(c: ColumnOrName) -> Column:
     """`m/d/Y` to ISO 8601 text; blank stays blank."""
     c = column(c)
-    return F.when(c == "", c).otherwise(F.date_format(parse_timestamp(c, MONTH_FIRST), ISO_STAMP))
+    day = _slashed_date(c, MONTH_FIRST).cast("timestamp_ntz")
+    return F.when(c == "", c).otherwise(F.date_format(day, ISO_STAMP))
 
 
 def iso_stamp(ts: ColumnOrName) -> Column:

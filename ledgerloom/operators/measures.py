@@ -23,11 +23,12 @@ def rounded_sum(c: ColumnOrName, digits: int = 2) -> Column:
 def distinct_in_group(name: str, group_keys: Sequence[str]) -> Column:
     """COUNT(DISTINCT name) for a grouping by `group_keys`.
 
-    A grouping key has one value per group, so the count is known from the key and
-    needs no distinct pass.
+    A grouping key has one value per group, so its count is 1, or 0 where it is NULL,
+    and needs no distinct pass. The maximum of a number keeps the grouping a hash
+    aggregate, which the first value of a text would not.
     """
     if name in group_keys:
-        return F.when(F.first(name).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+        return F.max(F.when(F.col(name).isNotNull(), F.lit(1)).otherwise(F.lit(0))).cast("bigint")
     return F.count_distinct(name)
 
 

@@ -80,7 +80,8 @@ MESSAGE = _fields(
 def created_time(text: Column | str) -> Column:
     """Local time of a message: its UTC text without the fraction, eight hours on."""
     text = F.col(text) if isinstance(text, str) else text
-    return shift_hours(parse_timestamp(F.substring(text, 1, 19), CREATED_LAYOUT), HOURS_AHEAD)
+    plain = F.concat(F.substring(text, 1, 10), F.lit(" "), F.substring(text, 12, 8))
+    return shift_hours(parse_timestamp(plain), HOURS_AHEAD)
 
 
 def flat_messages(bodies: DataFrame, body: str, schema: T.StructType = MESSAGE) -> DataFrame:
