@@ -138,28 +138,26 @@ def enabled_settings(settings: DataFrame, gateway: str, country: str) -> DataFra
     )
 
 
+def _with_times(df: DataFrame, names: list[str]) -> DataFrame:
+    """Time texts parsed; a mapping skips the columns that a source lacks."""
+    return df.withColumns({n: parse_timestamp(n) for n in names if n in df.columns})
+
+
 def recent_customers(customers: DataFrame, limit: int | None = None) -> DataFrame:
     """Mapped subscriptions after the start date.
 
     A trial load may be limited; it then takes the lowest row ids, so that it can be
     repeated.
     """
-    recent = (
-        apply_mapping(customers, CUSTOMERS)
-        .withColumns(
-            {
-                "subscribetime": parse_timestamp("subscribetime"),
-                "unsubscribetime": parse_timestamp("unsubscribetime"),
-            }
-        )
-        .where(F.col("subscribetime") > F.lit(SUBSCRIBED_AFTER).cast("timestamp_ntz"))
-    )
+    recent = _with_times(
+        apply_mapping(customers, CUSTOMERS), ["subscribetime", "unsubscribetime"]
+    ).where(F.col("subscribetime") > F.lit(SUBSCRIBED_AFTER).cast("timestamp_ntz"))
     return recent if limit is None else ordered_limit(recent, ["ref_cust_table_rid"], limit)
 
 
 def customer_activity(data: DataFrame) -> DataFrame:
     times = ["click_time", "view_time", "lead_time", "conversion_time"]
-    return apply_mapping(data, CUSTOMER_DATA).withColumns({t: parse_timestamp(t) for t in times})
+    return _with_times(apply_mapping(data, CUSTOMER_DATA), times)
 
 
 def first_billings(info: DataFrame) -> DataFrame:
