@@ -33,14 +33,12 @@ def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     The result is stored, as range bounds are sampled: a second run could draw
     other bounds, and the passes over the slices must agree.
     """
-    key = F.struct(*keys) if keys else F.lit(0)
-    return stored(
-        df.withColumn("_key", key)
-        .repartitionByRange(*keys, *order)
+    laid_out = (
+        df.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
-        .withColumns({"_slice": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}),
-        "slices",
+        .withColumns({"_slice": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
     )
+    return stored(laid_out, "slices").withColumn("_key", F.struct(*keys) if keys else F.lit(0))
 
 
 def _carried_into(rows: DataFrame, tail: dict, combine: dict) -> DataFrame:

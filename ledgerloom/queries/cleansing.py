@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import casts, dates, labels, texts
-from ..operators.projection import apply_mapping, flatten, flatten_variant, with_headings
+from ..operators.projection import flatten, flatten_variant, with_headings
 from ..plans.images import rendition_plan as rendition_plan_of
 from ..plans.telemetry import PARAMETER_KEYS, delivery_text
+from ..sources.tables import catalog_table, create_view
 from .base import derive, table, with_inputs
 
 
@@ -21,7 +22,8 @@ def scan_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("p_absent", "string", "absent", "string"),
         ("p_retailprice", "double", "price", "double"),
     ]
-    return apply_mapping(table(spark, sf_dir, "part"), mapping)
+    create_view(table(spark, sf_dir, "part"), "part_list")
+    return catalog_table(spark, "part_list", mapping)
 
 
 NUMBER_TEXTS = """SELECT event_id, CASE event_id % 5 WHEN 0 THEN substr(props, 7, length(props) - 7)

@@ -99,9 +99,10 @@ def update_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First document of every text, compared whole."""
-    documents = table(spark, sf_dir, "documents").select("text", "doc_id", "source")
-    return first_per_key(documents, ["text"], ["doc_id"]).select("doc_id", "source")
+    """First document of every text. The hash of the whole text is the key, so the
+    texts themselves are neither sorted nor shuffled."""
+    documents = table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("digest"), "doc_id", "source")
+    return first_per_key(documents, ["digest"], ["doc_id"]).select("doc_id", "source")
 
 
 def lookup_last(spark: SparkSession, sf_dir: str) -> DataFrame:

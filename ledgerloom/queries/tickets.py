@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.casts import safe_bigint
 from ..operators.lookups import drop_matches
+from ..operators.measures import distinct_in_group, net_box_office, ratio, rounded_sum
 from ..plans import ticket_rollups as rollups
 from ..plans.ticket_view import ticket_sales, unrefunded
 from .base import decimals_to_double, derive, with_inputs
@@ -72,6 +75,27 @@ def ticket_sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_to_double(view)
 
 
+def ticket_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view's measures at a coarser grain, where tickets and bookings must be
+    counted distinctly."""
+    tickets, seats = derive(spark, sf_dir, TICKETS), derive(spark, sf_dir, SCHEDULE_B).select("showid", "totalseats")
+    joined = tickets.join(seats, safe_bigint("ttd_show_id") == F.col("showid"))
+    keys = ["ttd_loc_id", "ttd_pos_no"]
+    nbo = rounded_sum(
+        net_box_office("ttd_tkt_amt", "ttd_tkt_gst_amt", "ttd_tkt_ent_tax", "ttd_tkt_surc_amt", "ttd_tkt_surc_gst_amt")
+    )
+    admission = distinct_in_group("ttd_ticket_no", keys)
+    return decimals_to_double(
+        joined.groupBy(*keys).agg(
+            nbo.alias("nbo"),
+            admission.alias("admission"),
+            distinct_in_group("ttd_booking_id", keys).alias("transactions"),
+            ratio(nbo, admission).alias("atp"),
+            F.round(ratio(admission, F.sum("totalseats")) * 100, 2).alias("occupancy_rate"),
+        )
+    )
+
+
 MIXED = """CASE WHEN {c} LIKE '%-%-%' THEN try_strptime({c}, '%Y-%m-%d')
     WHEN {c} LIKE '%/%/%' THEN try_strptime({c}, '%d/%m/%Y') ELSE NULL END"""
 HOUR = "extract(hour FROM try_strptime(ttd_trxn_date, '%Y-%m-%d %H:%M:%S.%f'))"
@@ -238,6 +262,7 @@ def unsold_shows(spark: SparkSession, sf_dir: str) -> DataFrame:
 KEYS = "movie_date, location_id, film_id, hall_id, hall_type"
 QUERIES = {
     "ticket_sales_view": ticket_sales_view,
+    "ticket_measures": ticket_measures,
     "refund_anti": refund_anti,
     "hall_lookup": hall_lookup,
     "timetable_join": timetable_join,
@@ -250,6 +275,14 @@ QUERIES = {
 }
 ORACLES = {
     "ticket_sales_view": with_inputs(TICKET_SALES_SQL, **VIEW_INPUTS),
+    "ticket_measures": with_inputs(
+        f"""SELECT ttd_loc_id, ttd_pos_no, CAST(ROUND(SUM({NBO}), 2) AS DOUBLE) AS nbo,
+        COUNT(DISTINCT ttd_ticket_no) AS admission, COUNT(DISTINCT ttd_booking_id) AS transactions,
+        CAST(ROUND(SUM({NBO}), 2) AS DOUBLE) / NULLIF(CAST(COUNT(DISTINCT ttd_ticket_no) AS DOUBLE), 0) AS atp,
+        ROUND(CAST(COUNT(DISTINCT ttd_ticket_no) AS DOUBLE) / CAST(SUM(totalseats) AS DOUBLE) * 100, 2) AS occupancy_rate
+        FROM ticket JOIN schedule ON TRY_CAST(ttd_show_id AS BIGINT) = showid GROUP BY ALL""",
+        ticket=TICKETS, schedule=SCHEDULE_B,
+    ),
     "refund_anti": with_inputs(REFUND_ANTI_SQL, ticket=TICKETS, refund=REFUNDS),
     "hall_lookup": with_inputs(
         """SELECT tic_booking_id, tic_row_id, tic_col_id, TRY_CAST(tic_hall_id AS INT) AS tic_hall_id, hall_hall_id,
