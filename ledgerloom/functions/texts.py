@@ -12,12 +12,8 @@ from .casts import ColumnOrName, column
 
 def ip_prefix(ip: ColumnOrName, parts: int) -> Column:
     """The first parts of a dotted address; NULL if one is absent or empty."""
-    pieces = F.split(column(ip), "[.]")
-    wanted = [F.nullif(F.try_element_at(pieces, F.lit(i + 1)), F.lit("")) for i in range(parts)]
-    joined = wanted[0]
-    for piece in wanted[1:]:
-        joined = F.concat(joined, F.lit("."), piece)
-    return joined
+    found = F.regexp_extract(column(ip), f"^[^.]+([.][^.]+){{{parts - 1}}}", 0)
+    return F.nullif(found, F.lit(""))
 
 
 def seat_number(row: ColumnOrName, col: ColumnOrName) -> Column:

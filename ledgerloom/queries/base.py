@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read off the file once per process; a later read
+    that is given the schema starts no job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:

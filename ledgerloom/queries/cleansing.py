@@ -319,8 +319,8 @@ ORACLES = {
         src=DATE_TEXTS,
     ),
     "showtime_bands": with_inputs(
-        """SELECT event_id, CASE WHEN hhmm >= 2300 OR hhmm <= 559 THEN 'Midnight (10pm onwards)'
-        WHEN hhmm >= 600 OR hhmm <= 1259 THEN 'Early (before 1pm)' END AS band FROM src""",
+        """SELECT event_id, CASE WHEN hhmm BETWEEN 560 AND 2299 THEN 'Early (before 1pm)'
+        ELSE 'Midnight (10pm onwards)' END AS band FROM src""",
         src=HHMM,
     ),
     "showtime_bands_strict": with_inputs(

@@ -24,7 +24,8 @@ AMOUNTS = """CAST(l_extendedprice AS DECIMAL(18,4)) AS {p}_tkt_amt,
     CAST(CAST(l_quantity AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4))
         AS {p}_tkt_surc_gst_amt"""
 
-TICKETS = f"""SELECT l_orderkey % 25 AS ttd_loc_id, {DAY_TEXT} AS ttd_bus_date,
+# Both sides grow with the data, so they are merge joined at any size.
+TICKETS = f"""SELECT /*+ MERGE(o) */ l_orderkey % 25 AS ttd_loc_id, {DAY_TEXT} AS ttd_bus_date,
     CAST(l_orderkey AS STRING) AS ttd_booking_id, CAST(l_orderkey AS STRING) AS ttd_show_id,
     CAST(l_partkey AS STRING) AS ttd_row_id, CAST(l_suppkey AS STRING) AS ttd_col_id,
     CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'EPAY' WHEN '2' THEN 'KIOSK01' WHEN '3' THEN 'IOS'
@@ -40,7 +41,7 @@ TICKETS = f"""SELECT l_orderkey % 25 AS ttd_loc_id, {DAY_TEXT} AS ttd_bus_date,
     o_orderpriority AS ttd_pymt_channel_type,
     CAST((l_suppkey % 24) * 100 + l_linenumber AS STRING) AS ttd_show_time, {DAY_TEXT} AS ttd_show_date,
     CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN 'APP' ELSE '' END AS ttd_pymt_platform
-    FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
+    FROM {{lineitem}} AS l JOIN {{orders}} AS o ON l_orderkey = o_orderkey"""
 
 REFUNDS = """SELECT CAST(l_orderkey AS STRING) || '.0' AS trd_booking_id, CAST(l_partkey AS STRING) AS trd_row_id,
     CAST(l_suppkey AS STRING) AS trd_col_id FROM {lineitem} WHERE l_returnflag = 'R' AND l_quantity > 25"""
@@ -96,60 +97,58 @@ def ticket_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-MIXED = """CASE WHEN {c} LIKE '%-%-%' THEN try_strptime({c}, '%Y-%m-%d')
-    WHEN {c} LIKE '%/%/%' THEN try_strptime({c}, '%d/%m/%Y') ELSE NULL END"""
-HOUR = "extract(hour FROM try_strptime(ttd_trxn_date, '%Y-%m-%d %H:%M:%S.%f'))"
 NBO = "ttd_tkt_amt - ttd_tkt_gst_amt - ttd_tkt_ent_tax + ttd_tkt_surc_amt - ttd_tkt_surc_gst_amt"
-
-TICKET_SALES_SQL = f"""
-SELECT ttd_loc_id AS location_code, {MIXED.format(c='ttd_bus_date')} AS movie_date,
-  TRY_CAST(ttd_booking_id AS BIGINT) AS booking_id, TRY_CAST(ttd_show_id AS BIGINT) AS show_id,
-  ttd_row_id AS seat_row, TRY_CAST(ttd_col_id AS BIGINT) AS seat_column, ttd_pos_no AS pos_no,
-  TRY_CAST(ttd_film_id AS BIGINT) AS film_id, TRY_CAST(ttd_hall_id AS BIGINT) AS hall_id,
-  CASE WHEN ttd_trxn_date LIKE '%-%-%' THEN try_strptime(ttd_trxn_date, '%Y-%m-%d %H:%M:%S.%f') END
-    AS transaction_date,
-  TRY_CAST(ttd_ticket_no AS BIGINT) AS ticket_no, ttd_tkt_type AS ticket_type,
-  CAST(SUM(ttd_tkt_amt) AS DOUBLE) AS ticket_amount, CAST(SUM(ttd_tkt_gst_amt) AS DOUBLE) AS ticket_gst_amount,
-  CAST(SUM(ttd_tkt_ent_tax) AS DOUBLE) AS ticket_ent_tax,
-  CAST(SUM(ttd_tkt_bkg_fee_amt) AS DOUBLE) AS booking_fee_amount,
-  CAST(SUM(ttd_tkt_bkg_fee_gst_amt) AS DOUBLE) AS booking_fee_gst_amount,
-  CAST(SUM(ttd_tkt_surc_amt) AS DOUBLE) AS surcharge_amount,
-  CAST(SUM(ttd_tkt_surc_gst_amt) AS DOUBLE) AS surcharge_gst_amount,
-  ttd_pymt_channel_type AS payment_channel_type, TRY_CAST(ttd_show_time AS BIGINT) AS show_time,
-  ttd_show_date AS show_date,
-  ttd_row_id || CAST(TRY_CAST(ttd_col_id AS BIGINT) AS VARCHAR) AS seat_number,
-  CAST(ROUND(SUM({NBO}), 2) AS DOUBLE) AS nbo,
-  CAST(ROUND(SUM(ttd_tkt_amt + ttd_tkt_surc_amt), 2) AS DOUBLE) AS gbo,
-  COUNT(DISTINCT ttd_ticket_no) AS admission,
-  CAST(ROUND(SUM(ttd_tkt_amt - ttd_tkt_gst_amt - ttd_tkt_ent_tax), 2) AS DOUBLE) AS net_ticket_price,
-  CAST(ROUND(SUM(ttd_tkt_surc_amt - ttd_tkt_surc_gst_amt), 2) AS DOUBLE) AS net_surcharge,
-  CAST(ROUND(SUM(ttd_tkt_bkg_fee_amt - ttd_tkt_bkg_fee_gst_amt), 2) AS DOUBLE) AS net_booking_fee,
-  CAST(ROUND(SUM({NBO}), 2) AS DOUBLE) / NULLIF(CAST(COUNT(DISTINCT ttd_ticket_no) AS DOUBLE), 0) AS atp,
-  COUNT(DISTINCT ttd_booking_id) AS transactions,
-  ROUND(CAST(COUNT(DISTINCT ttd_ticket_no) AS DOUBLE) / CAST(SUM(totalseats) AS DOUBLE) * 100, 2) AS occupancy_rate,
-  CASE WHEN {HOUR} > 12 THEN lpad(CAST({HOUR} - 12 AS VARCHAR), 2, '0') || ':00PM'
-       WHEN {HOUR} < 12 THEN lpad(CAST({HOUR} AS VARCHAR), 2, '0') || ':00AM' END AS hourly_sales,
-  tkt_type_seat_type AS seat_type,
-  CASE WHEN ttd_pymt_platform = '' AND ttd_pos_no = 'EPAY' THEN 'ONLINE'
-       WHEN ttd_pymt_platform = '' AND ttd_pos_no LIKE '%KIOSK%' THEN 'KIOSK' ELSE 'POS' END AS platform,
-  CASE WHEN ttd_pymt_platform = '' AND ttd_pos_no = 'EPAY' THEN 'ONLINE'
-       WHEN ttd_pymt_platform = '' AND ttd_pos_no LIKE '%KIOSK%' THEN 'KIOSK'
-       WHEN ttd_pymt_platform = '' AND ttd_pos_no = 'IOS' THEN 'MOBILE'
-       WHEN ttd_pymt_platform = '' AND ttd_pos_no = 'ANDROID' THEN 'MOBILE' ELSE 'POS' END AS source
-FROM ticket
-LEFT JOIN refund ON TRY_CAST(ttd_booking_id AS BIGINT) = CAST(trunc(TRY_CAST(trd_booking_id AS DOUBLE)) AS BIGINT)
-  AND ttd_row_id = trd_row_id AND ttd_col_id = trd_col_id
-LEFT JOIN film ON TRY_CAST(ttd_film_id AS BIGINT) = film_id
-LEFT JOIN film_parent ON TRY_CAST(film_film_parent_id AS BIGINT) = flm_parent_id
-LEFT JOIN ticket_type ON ttd_tkt_type = tkt_type_id
-RIGHT JOIN (SELECT showid, TRY_CAST(locid AS BIGINT) AS locid, showdate, totalseats FROM schedule_a
-  UNION SELECT * FROM schedule_b UNION SELECT * FROM schedule_c) schedule
-  ON TRY_CAST(ttd_show_id AS BIGINT) = schedule.showid AND ttd_loc_id = schedule.locid
-  AND {MIXED.format(c='ttd_show_date')} = try_strptime(schedule.showdate, '%Y-%m-%d %H:%M:%S.%f')
-WHERE trd_booking_id IS NULL AND ttd_booking_id IS NOT NULL AND schedule.showdate <> ''
-GROUP BY ttd_loc_id, ttd_bus_date, ttd_row_id, ttd_col_id, ttd_pos_no, ttd_film_id, ttd_hall_id, ttd_trxn_date,
-  ttd_ticket_no, ttd_tkt_type, ttd_pymt_channel_type, ttd_show_time, ttd_show_date, ttd_pymt_platform,
-  schedule.showdate, tkt_type_seat_type, ttd_booking_id, ttd_show_id"""
+DAY = "coalesce(try_strptime({c}, '%Y-%m-%d'), try_strptime({c}, '%d/%m/%Y'))"
+
+# Films are joined as a number of copies per film, refunds are looked up per ticket.
+TICKET_SALES_SQL = f"""WITH show_days AS (
+    SELECT DISTINCT * FROM (SELECT showid, TRY_CAST(locid AS BIGINT) AS locid, showdate, totalseats FROM schedule_a
+      UNION ALL SELECT * FROM schedule_b UNION ALL SELECT * FROM schedule_c) WHERE showdate <> ''),
+  copies AS (SELECT film_id, greatest(COUNT(flm_parent_id), 1) AS n FROM film
+    LEFT JOIN film_parent ON flm_parent_id = CAST(film_film_parent_id AS BIGINT) GROUP BY film_id),
+  kept AS (SELECT t.*, coalesce(c.n, 1) AS n, d.showdate, d.totalseats * coalesce(c.n, 1) AS seats, y.tkt_type_seat_type,
+      {DAY.format(c='ttd_bus_date')} AS movie_day, try_strptime(ttd_trxn_date, '%Y-%m-%d %H:%M:%S.%f') AS paid_at,
+      CAST(ttd_tkt_amt * coalesce(c.n, 1) AS DECIMAL(18,4)) AS amt, CAST(ttd_tkt_gst_amt * coalesce(c.n, 1) AS DECIMAL(18,4)) AS gst,
+      CAST(ttd_tkt_ent_tax * coalesce(c.n, 1) AS DECIMAL(18,4)) AS ent,
+      CAST(ttd_tkt_bkg_fee_amt * coalesce(c.n, 1) AS DECIMAL(18,4)) AS fee,
+      CAST(ttd_tkt_bkg_fee_gst_amt * coalesce(c.n, 1) AS DECIMAL(18,4)) AS fee_gst,
+      CAST(ttd_tkt_surc_amt * coalesce(c.n, 1) AS DECIMAL(18,4)) AS surc,
+      CAST(ttd_tkt_surc_gst_amt * coalesce(c.n, 1) AS DECIMAL(18,4)) AS surc_gst
+    FROM ticket t
+    JOIN show_days d ON d.showid = CAST(ttd_show_id AS BIGINT) AND d.locid = ttd_loc_id
+      AND CAST(d.showdate AS TIMESTAMP) = {DAY.format(c='ttd_show_date')}
+    LEFT JOIN copies c ON c.film_id = CAST(ttd_film_id AS BIGINT)
+    LEFT JOIN ticket_type y ON y.tkt_type_id = ttd_tkt_type
+    WHERE ttd_booking_id IS NOT NULL AND (ttd_booking_id || '.0', ttd_row_id, ttd_col_id) NOT IN
+      (SELECT (trd_booking_id, trd_row_id, trd_col_id) FROM refund)),
+  grouped AS (SELECT ttd_loc_id AS location_code, movie_day AS movie_date, CAST(ttd_booking_id AS BIGINT) AS booking_id,
+      CAST(ttd_show_id AS BIGINT) AS show_id, ttd_row_id AS seat_row, CAST(ttd_col_id AS BIGINT) AS seat_column,
+      ttd_pos_no AS pos_no, CAST(ttd_film_id AS BIGINT) AS film_id, CAST(ttd_hall_id AS BIGINT) AS hall_id,
+      paid_at AS transaction_date, CAST(ttd_ticket_no AS BIGINT) AS ticket_no, ttd_tkt_type AS ticket_type,
+      ttd_pymt_channel_type AS payment_channel_type, CAST(ttd_show_time AS BIGINT) AS show_time,
+      ttd_show_date AS show_date, ttd_row_id || ttd_col_id AS seat_number, tkt_type_seat_type AS seat_type,
+      ttd_pymt_platform AS paid_on, showdate, ttd_bus_date,
+      SUM(amt) AS a, SUM(gst) AS g, SUM(ent) AS e, SUM(fee) AS f, SUM(fee_gst) AS fg, SUM(surc) AS s, SUM(surc_gst) AS sg,
+      COUNT(DISTINCT ttd_ticket_no) AS admission, COUNT(DISTINCT ttd_booking_id) AS transactions, SUM(seats) AS seats
+    FROM kept GROUP BY ALL)
+SELECT location_code, movie_date, booking_id, show_id, seat_row, seat_column, pos_no, film_id, hall_id, transaction_date,
+  ticket_no, ticket_type, CAST(a AS DOUBLE) AS ticket_amount, CAST(g AS DOUBLE) AS ticket_gst_amount,
+  CAST(e AS DOUBLE) AS ticket_ent_tax, CAST(f AS DOUBLE) AS booking_fee_amount, CAST(fg AS DOUBLE) AS booking_fee_gst_amount,
+  CAST(s AS DOUBLE) AS surcharge_amount, CAST(sg AS DOUBLE) AS surcharge_gst_amount, payment_channel_type, show_time,
+  show_date, seat_number, CAST(ROUND(a - g - e + s - sg, 2) AS DOUBLE) AS nbo, CAST(ROUND(a + s, 2) AS DOUBLE) AS gbo,
+  admission, CAST(ROUND(a - g - e, 2) AS DOUBLE) AS net_ticket_price, CAST(ROUND(s - sg, 2) AS DOUBLE) AS net_surcharge,
+  CAST(ROUND(f - fg, 2) AS DOUBLE) AS net_booking_fee,
+  CAST(ROUND(a - g - e + s - sg, 2) AS DOUBLE) / NULLIF(CAST(admission AS DOUBLE), 0) AS atp, transactions,
+  ROUND(CAST(admission AS DOUBLE) / CAST(seats AS DOUBLE) * 100, 2) AS occupancy_rate,
+  CASE WHEN hour(transaction_date) <> 12 THEN strftime(transaction_date, '%I:00%p') END AS raw_label, seat_type, pos_no AS p,
+  paid_on FROM grouped"""
+# Midnight is written 00 on this clock, and the channels follow from the sale point.
+TICKET_SALES_SQL = f"""SELECT * EXCLUDE (raw_label, p, paid_on),
+  CASE WHEN hour(transaction_date) = 0 THEN '00:00AM' ELSE raw_label END AS hourly_sales,
+  CASE WHEN paid_on = '' THEN CASE p WHEN 'EPAY' THEN 'ONLINE' WHEN 'KIOSK01' THEN 'KIOSK' ELSE 'POS' END ELSE 'POS' END
+    AS platform,
+  CASE WHEN paid_on = '' THEN CASE p WHEN 'EPAY' THEN 'ONLINE' WHEN 'KIOSK01' THEN 'KIOSK' WHEN 'C1' THEN 'POS'
+    ELSE 'MOBILE' END ELSE 'POS' END AS source FROM ({TICKET_SALES_SQL})"""
 
 
 def refund_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,18 +160,17 @@ def refund_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REFUND_ANTI_SQL = """SELECT ttd_booking_id, ttd_row_id, ttd_col_id, ttd_ticket_no,
   CAST(ttd_tkt_amt AS DOUBLE) AS ttd_tkt_amt FROM ticket
-LEFT JOIN (SELECT DISTINCT * FROM refund) r ON TRY_CAST(ttd_booking_id AS BIGINT)
-    = CAST(trunc(TRY_CAST(trd_booking_id AS DOUBLE)) AS BIGINT)
-  AND ttd_row_id = trd_row_id AND ttd_col_id = trd_col_id WHERE trd_booking_id IS NULL"""
+WHERE NOT EXISTS (SELECT 1 FROM refund WHERE CAST(trd_booking_id AS DOUBLE) = CAST(ttd_booking_id AS DOUBLE)
+  AND trd_row_id = ttd_row_id AND trd_col_id = ttd_col_id)"""
 
 # The rollups' tables.
-SOLD = f"""SELECT CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS tic_booking_id,
+SOLD = f"""SELECT /*+ MERGE(o) */ CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS tic_booking_id,
     CAST(l_suppkey AS STRING) AS tic_col_id, CAST(l_partkey AS STRING) AS tic_row_id,
     CAST(l_suppkey % 12 AS STRING) AS tic_hall_id, CAST(l_orderkey AS STRING) AS tic_show_id,
     CAST((o_orderkey % 24) * 100 + 30 AS STRING) AS tic_show_time, CAST(o_orderkey % 2000 AS STRING) AS tic_film_id,
     CAST(o_orderkey % 25 AS STRING) AS tic_loc_id, substr(CAST(o_orderdate AS STRING), 1, 10) AS tic_show_date,
     {DAY_TEXT} AS tic_bus_date, {AMOUNTS.format(p='tic')}
-    FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
+    FROM {{lineitem}} AS l JOIN {{orders}} AS o ON l_orderkey = o_orderkey"""
 SOLD_REFUNDS = """SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS refund_booking_id,
     CAST(l_suppkey AS STRING) AS refund_col_id, CAST(l_partkey AS STRING) AS refund_row_id
     FROM {lineitem} WHERE l_returnflag = 'R' AND l_quantity > 25"""
@@ -215,10 +213,8 @@ SHOWN_SQL = """WITH shown AS (SELECT
     WHERE TRY_CAST(tic_booking_id AS DOUBLE) = TRY_CAST(refund_booking_id AS DOUBLE)
       AND tic_col_id = refund_col_id AND tic_row_id = refund_row_id))
 """
-BAND = """CASE WHEN show_time >= 2300 OR show_time <= 559 THEN 'Midnight (10pm onwards)'
-    WHEN show_time >= 600 OR show_time <= 1259 THEN 'Early (before 1pm)'
-    WHEN show_time >= 1300 OR show_time <= 1759 THEN 'Afternoon (1pm - 5:59pm)'
-    WHEN show_time >= 1800 OR show_time <= 2159 THEN 'Evening (6pm - 9:59pm)' END"""
+BAND = """CASE WHEN show_time BETWEEN 560 AND 2299 THEN 'Early (before 1pm)'
+    WHEN show_time IS NOT NULL THEN 'Midnight (10pm onwards)' END"""
 
 
 def rollup_day(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,21 +17,22 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from ledgerloom.functions import dates, labels, texts  # noqa: E402
 from ledgerloom.session import build_session  # noqa: E402
 
-# Each Python form returns what its column function returns for these inputs.
-FORMS = {
-    "ip prefix": ("ip", texts.ip_prefix("ip", 3), lambda v: ".".join(v.split(".")[:3]), "string"),
-    "timestamp text": (
-        "stamp", dates.parse_timestamp("stamp"), lambda v: datetime.strptime(v, "%Y-%m-%d %H:%M:%S.%f"), "timestamp_ntz",
-    ),
-    "day-first date": (
-        "day", dates.day_first_date("day"), lambda v: datetime.strptime(v, "%d/%m/%Y").date(), "date",
-    ),
-    "connection type": ("ip", labels.connection_type("ip"), lambda v: "3g" if v else "wifi", "string"),
-    "show hour label": (
-        "hhmm", labels.show_hour_label("hhmm"),
-        lambda v: f"0{v // 100}:00AM" if v < 1200 else f"{v // 100 - 12}:00PM", "string",
-    ),
-}
+def forms() -> dict:
+    """Each Python form returns what its column function returns for these inputs."""
+    return {
+        "ip prefix": ("ip", texts.ip_prefix("ip", 3), lambda v: ".".join(v.split(".")[:3]), "string"),
+        "timestamp text": (
+            "stamp", dates.parse_timestamp("stamp"), lambda v: datetime.strptime(v, "%Y-%m-%d %H:%M:%S.%f"), "timestamp_ntz",
+        ),
+        "day-first date": (
+            "day", dates.day_first_date("day"), lambda v: datetime.strptime(v, "%d/%m/%Y").date(), "date",
+        ),
+        "connection type": ("ip", labels.connection_type("ip"), lambda v: "3g" if v else "wifi", "string"),
+        "show hour label": (
+            "hhmm", labels.show_hour_label("hhmm"),
+            lambda v: f"0{v // 100}:00AM" if v < 1200 else f"{v // 100 - 12}:00PM", "string",
+        ),
+    }
 
 
 def main() -> None:
@@ -47,7 +48,7 @@ def main() -> None:
         ((F.col("l_suppkey") % 24) * 100 + F.col("l_linenumber")).cast("int").alias("hhmm"),
     ).repartition(8).cache()
     n = rows.count()
-    for name, (source, built_in, python, kind) in FORMS.items():
+    for name, (source, built_in, python, kind) in forms().items():
         by_row = F.udf(python, kind)(source)
         assert rows.where(~built_in.eqNullSafe(by_row)).count() == 0, name
         speed = []
