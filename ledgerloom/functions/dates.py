@@ -100,6 +100,17 @@ def shift_hours(ts: ColumnOrName, hours: int = 8) -> Column:
     return column(ts) + F.make_dt_interval(hours=F.lit(hours))
 
 
+def utc_instant(ts: ColumnOrName) -> Column:
+    """The instant of a zone-free UTC time, whatever the session's zone."""
+    since = column(ts) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_seconds(since.cast("interval second").cast("decimal(20,6)"))
+
+
+def utc_day(instant: ColumnOrName) -> Column:
+    """The UTC calendar day of an instant."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(column(instant)) / 86_400).cast("int"))
+
+
 def bin_end(ts: ColumnOrName, minutes: int = 10, keep_seconds: bool = False) -> Column:
     """End of the bin that holds `ts`: :00-:09 gives :10, :50-:59 the next full hour.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import utc_instant
 from ..plans.power import CONTROLLERS, power_output
 from ..plans.telemetry import delivery_text, flat_messages
 from ..session import scratch_dir
@@ -85,7 +86,8 @@ def stream_power(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alarms = alarm_stream(_with_time(_arriving(spark, sf_dir)), "event_type", "ts", F.col("user_id") % 3)
+    calls = _arriving(spark, sf_dir).withColumn("ts", utc_instant("ts"))
+    alarms = alarm_stream(calls, "event_type", "ts", F.col("user_id") % 3)
     return spark.read.parquet(_landed(spark, alarms, "stream-alarm"))
 
 

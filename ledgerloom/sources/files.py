@@ -71,22 +71,29 @@ def text_lines(spark: SparkSession, path: str, containing: str | None = None) ->
     return lines.where(F.col("value").contains(containing)) if containing else lines
 
 
-def _open_seekable(uri: str):
-    """A seekable handle on a file of any file system that Arrow knows."""
-    from pyarrow import fs
+def _member_lister():
+    """The function that lists archives on executors.
 
-    if uri.startswith("file:"):
-        uri = "file:///" + uri[len("file:"):].lstrip("/")
-    system, path = fs.FileSystem.from_uri(uri)
-    return system.open_input_file(path)
+    It is made here so that Spark ships its code; executors need no copy of this
+    package.
+    """
+
+    def open_seekable(uri: str):
+        from pyarrow import fs
 
+        if uri.startswith("file:"):
+            uri = "file:///" + uri[len("file:"):].lstrip("/")
+        system, path = fs.FileSystem.from_uri(uri)
+        return system.open_input_file(path)
 
-def _list_members(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for uri in batch["path"]:
-            with _open_seekable(uri) as handle, zipfile.ZipFile(handle) as archive:
-                found = [(uri, i, m.filename, m.file_size) for i, m in enumerate(archive.infolist())]
-            yield pd.DataFrame(found, columns=["archive", "pos", "filename", "size"])
+    def list_members(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for uri in batch["path"]:
+                with open_seekable(uri) as handle, zipfile.ZipFile(handle) as archive:
+                    found = [(uri, i, m.filename, m.file_size) for i, m in enumerate(archive.infolist())]
+                yield pd.DataFrame(found, columns=["archive", "pos", "filename", "size"])
+
+    return list_members
 
 
 def archive_members(spark: SparkSession, path: str) -> DataFrame:
@@ -96,4 +103,6 @@ def archive_members(spark: SparkSession, path: str) -> DataFrame:
     column pruning of the scan leaves out.
     """
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path")
-    return archives.mapInPandas(_list_members, "archive string, pos long, filename string, size long")
+    return archives.mapInPandas(
+        _member_lister(), "archive string, pos long, filename string, size long"
+    )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
+from ..functions.dates import utc_day
 from ..operators.slices import carry_forward
 from .runs import finish, in_batches
 
@@ -110,11 +111,11 @@ def carry_forward_stream(
 def alarm_stream(
     calls: DataFrame, name: str, ts: str, amount: Column, limit: int = 10, delay: str = DELAY
 ) -> DataFrame:
-    """(name, day, total) once a day has closed and its total reaches the limit."""
+    """(name, day, total) once a UTC day has closed and its total reaches the limit."""
     return (
         calls.withWatermark(ts, delay)
         .groupBy(name, F.window(ts, "1 day").alias("w"))
         .agg(F.sum(amount).alias("total"))
         .where(F.col("total") >= limit)
-        .select(name, F.to_date("w.start").alias("day"), "total")
+        .select(name, utc_day("w.start").alias("day"), "total")
     )
