@@ -26,7 +26,7 @@ COLUMNS = [
 ]
 SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in COLUMNS])
 ROOT = "-"
-EDITOR = "robot@axrail.com"
+EDITOR = "robot"
 SHORT_GROUP_CODE = 5
 SHORT_CATEGORY_CODE = 3
 
@@ -179,12 +179,12 @@ def product_tags(rows: DataFrame, taggings: DataFrame, tag_column: str = "image"
 
 def catalogue_load(
     rows: DataFrame, products: DataFrame, categories: DataFrame, departments: DataFrame,
-    taggings: DataFrame, now: str, tag_column: str = "image",
+    taggings: DataFrame, now: str, tag_column: str = "image", editor: str = EDITOR,
 ) -> dict[str, DataFrame]:
     """Changes for the six tables, to be put in by key.
 
     `rows` holds `row_no` and the list's columns. Tags are read from the image
-    column unless another is named.
+    column unless another is named. `editor` signs new departments and tags.
     """
     stamp = iso_stamp(F.lit(now).cast("timestamp_ntz"))
     year_end = year_end_stamp(F.lit(now).cast("timestamp_ntz"))
@@ -194,7 +194,7 @@ def catalogue_load(
     tags = product_tags(identified, taggings, tag_column)
     times = {"createdAt": stamp, "updatedAt": stamp}
     effective = {"effectiveStartDate": stamp, "effectiveEndDate": year_end, "isDisabled": F.lit(False),
-                 "modifiedBy": F.lit(EDITOR)}
+                 "modifiedBy": F.lit(editor)}
     return {
         "product": product_rows(identified, categories, added, now),
         "category": added.drop("first_row").withColumns({**times, "__typename": F.lit("Category")}),
@@ -209,7 +209,7 @@ def catalogue_load(
             F.lit("ProductDepartment").alias("__typename"),
         ),
         "tagging": tags.where("is_new").select("productTaggingId", "title").distinct().withColumns(
-            {**times, **effective, "image": F.lit(""), "createdBy": F.lit(EDITOR), "created": stamp,
+            {**times, **effective, "image": F.lit(""), "createdBy": F.lit(editor), "created": stamp,
              "modified": stamp, "__typename": F.lit("ProductTagging")}
         ),
         "tagging_mapping": tags.select(

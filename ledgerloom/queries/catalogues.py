@@ -159,7 +159,7 @@ TAGGED = f"""pairs AS (SELECT DISTINCT pid, unnest(string_split(image, ', ')) AS
   tagged AS (SELECT pid, p.title, t.id IS NULL AS is_new, coalesce(t.id, {_id('tag', 'p.title')}) AS tid FROM pairs p
     LEFT JOIN (SELECT title, min("productTaggingId") AS id FROM tags GROUP BY title) t ON t.title = p.title)"""
 EFFECTIVE = f"""'{STAMP}' AS "createdAt", '{STAMP}' AS "updatedAt", '{STAMP}' AS "effectiveStartDate",
-  '{YEAR_END}' AS "effectiveEndDate", false AS "isDisabled", 'robot@axrail.com' AS "modifiedBy" """
+  '{YEAR_END}' AS "effectiveEndDate", false AS "isDisabled", 'robot' AS "modifiedBy" """
 IMAGE_SQL = f"""WITH sku AS (SELECT sku, min("productId") AS pid FROM products GROUP BY sku),
   n AS (SELECT "productImageProductId" AS pid, COUNT(*) AS c FROM existing GROUP BY ALL),
   img AS (SELECT {_id('image', 's.pid', 'archive', 'CAST(pos AS VARCHAR)')} AS "productImageId",
@@ -205,7 +205,7 @@ ORACLES = {
     ),
     "catalogue_tags": with_inputs(
         f"""WITH {IDENTIFIED}, {TAGGED} SELECT DISTINCT tid AS "productTaggingId", title, {EFFECTIVE}, '' AS image,
-        'robot@axrail.com' AS "createdBy", '{STAMP}' AS created, '{STAMP}' AS modified, 'ProductTagging' AS __typename
+        'robot' AS "createdBy", '{STAMP}' AS created, '{STAMP}' AS modified, 'ProductTagging' AS __typename
         FROM tagged WHERE is_new""",
         **INPUTS,
     ),
