@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.projection import wide_by
 from ..operators.series import change_since_previous_bin, last_per_bin, previous_bin_by_join
