@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.queries.base import table
 
 from .bpe import encode_documents
+from .exact_copies import exact_copies
+from .near_copies import near_copies
 from .packing import pack
+from .passages import remove_passages
 
 ORACLES: dict[str, str] = {}
 
@@ -24,11 +27,26 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op3_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies(table(spark, sf_dir, "documents"))
+
+
 def op5_encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents"))
+
+
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_passages(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack_sequences": op2_pack_sequences,
+    "op3_exact_copies": op3_exact_copies,
     "op5_encode_documents": op5_encode_documents,
+    "op6_near_copies": op6_near_copies,
+    "op9_repeated_passages": op9_repeated_passages,
 }
