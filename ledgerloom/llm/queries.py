@@ -10,6 +10,7 @@ from ledgerloom.queries.base import table
 
 from .bpe import encode_documents
 from .exact_copies import exact_copies
+from .licences import scan_licenses
 from .near_copies import near_copies
 from .packing import pack
 from .passages import remove_passages
@@ -43,10 +44,15 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_passages(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack_sequences": op2_pack_sequences,
     "op3_exact_copies": op3_exact_copies,
     "op5_encode_documents": op5_encode_documents,
     "op6_near_copies": op6_near_copies,
     "op9_repeated_passages": op9_repeated_passages,
+    "op10_license_scan": op10_license_scan,
 }
