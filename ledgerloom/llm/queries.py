@@ -10,10 +10,12 @@ from ledgerloom.queries.base import table
 
 from .bpe import encode_documents
 from .exact_copies import exact_copies
+from .html_text import extract_text
 from .licences import scan_licenses
 from .near_copies import near_copies
 from .packing import pack
 from .passages import remove_passages
+from .toxicity import score_toxicity
 
 ORACLES: dict[str, str] = {}
 
@@ -32,6 +34,10 @@ def op3_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(table(spark, sf_dir, "documents"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -40,6 +46,10 @@ def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_passages(table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -51,8 +61,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack_sequences": op2_pack_sequences,
     "op3_exact_copies": op3_exact_copies,
+    "op4_main_text": op4_main_text,
     "op5_encode_documents": op5_encode_documents,
     "op6_near_copies": op6_near_copies,
+    "op7_toxicity": op7_toxicity,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_license_scan": op10_license_scan,
 }
