@@ -15,6 +15,7 @@ from .licences import scan_licenses
 from .near_copies import near_copies
 from .packing import pack
 from .passages import remove_passages
+from .quality import classify_quality
 from .toxicity import score_toxicity
 
 ORACLES: dict[str, str] = {}
@@ -50,6 +51,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_passages(table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_encode_documents": op5_encode_documents,
     "op6_near_copies": op6_near_copies,
     "op7_toxicity": op7_toxicity,
+    "op8_quality": op8_quality,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_license_scan": op10_license_scan,
 }
