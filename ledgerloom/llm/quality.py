@@ -83,7 +83,7 @@ def _low(order: int) -> Column:
 
 
 def log_losses(grams: DataFrame, order: int) -> DataFrame:
-    """(lang, code, loss): -log p of every n-gram in `grams` (lang, code, n), where n counts it
+    """(lang, code, loss): -log p of every n-gram in `grams` (block, lang, code, n), where n counts it
     in trusted text and may be 0.
 
     Interpolated modified Kneser-Ney: the highest order counts occurrences, lower orders
@@ -91,11 +91,13 @@ def log_losses(grams: DataFrame, order: int) -> DataFrame:
     the numbers of n-grams seen once to four times. Every step is an aggregation or an
     equality join on (language, n-gram), sharded by that key.
     """
-    counts = {order: grams.groupBy("lang", "code").agg(F.sum("n").alias("c")).where("c > 0")}
+    # All uses read the same columns, renamed here, so that Spark makes their one input once.
+    seen = grams.groupBy(F.col("lang").alias("lang"), F.col("code").alias("code")).agg(F.sum("n").alias("c"), F.count("block").alias("blocks")).where("blocks > 0")
+    counts = {order: seen.where("c > 0").select("lang", "code", "c")}
     for n in range(order - 1, 0, -1):
         counts[n] = counts[n + 1].groupBy("lang", _low(n).alias("code")).agg(F.count("*").alias("c"))
     sizes = counts[1].groupBy("lang").agg((F.count("*") + 1).alias("v"))
-    out = grams.select("lang", "code").distinct().join(sizes, "lang", "left").withColumn("p", 1.0 / F.coalesce("v", F.lit(2))).drop("v")
+    out = seen.where("c >= 0").select("lang", "code").join(sizes, "lang", "left").withColumn("p", 1.0 / F.coalesce("v", F.lit(2))).drop("v")
     for n in range(1, order + 1):
         ones = [F.greatest(F.count_if(F.col("c") == i), F.lit(1)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
         y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
@@ -159,8 +161,8 @@ def classify_quality(
     grams = dealt.groupBy("block").applyInPandas(_count(order), ROWS).repartition(
         max(blocks, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "lang", "code"
     )
-    losses = log_losses(grams.select("lang", "code", "n"), order)
-    own = grams.select("block", "lang", "code").join(losses, ["lang", "code"]).select("block", "lang", "code", "loss")
+    losses = log_losses(grams, order)
+    own = grams.join(losses, ["lang", "code"]).select("block", "lang", "code", "n", "loss")
     scored = stored(
         dealt.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(_score(order), SCORED), "perplexities"
     )
