@@ -80,3 +80,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
+
+
+def tokenizer(name: str) -> str:
+    """The path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.queries.base import table
 
 from .bpe import encode_documents
+from .common import tokenizer
 from .exact_copies import exact_copies
 from .html_text import extract_text
 from .licences import scan_licenses
@@ -17,14 +18,13 @@ from .packing import pack
 from .passages import remove_passages
 from .quality import classify_quality
 from .toxicity import score_toxicity
+from .vector_links import link_vectors
 
 ORACLES: dict[str, str] = {}
 
 
-def tokenizer(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+def op1_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vector_links": op1_vector_links,
     "op2_pack_sequences": op2_pack_sequences,
     "op3_exact_copies": op3_exact_copies,
     "op4_main_text": op4_main_text,
