@@ -56,8 +56,10 @@ def strip_label(line: ColumnOrName, label: str) -> Column:
 
 
 def stable_id(kind: str, *parts: ColumnOrName) -> Column:
-    """An id that depends on its key only, so that a rerun gives the same one."""
-    return F.sha2(F.concat_ws("\u001f", F.lit(kind), *[column(p) for p in parts]), 256)
+    """An id that depends on its key only, so that a rerun gives the same one. A missing part
+    counts as a part of its own, unlike any text that names hold."""
+    told = [F.coalesce(column(p).cast("string"), F.lit("\u001e")) for p in parts]
+    return F.sha2(F.concat_ws("\u001f", F.lit(kind), *told), 256)
 
 
 def hashed_fraction(seed: ColumnOrName, salt: str) -> Column:

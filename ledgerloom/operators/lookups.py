@@ -13,10 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def inner_join(left: DataFrame, right: DataFrame, condition: Column | str | list) -> DataFrame:
-    return left.join(right, condition, "inner")
-
-
 def drop_matches(df: DataFrame, other: DataFrame, condition: Column | str | list) -> DataFrame:
     """Rows of `df` without a match. Stated as an anti join, since Spark does not
     derive one from a left join with a NULL test."""

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from .slices import running_position
 
-# Up to this many rows a page is cut by one top-k pass; beyond it rows are numbered.
-TOP_K_ROWS = 1_000_000
-
 
 def ordered_limit(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first n rows of an order without ties, so that the result is repeatable."""
@@ -19,9 +16,10 @@ def ordered_limit(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 
 def page_slice(df: DataFrame, order: Sequence[str], start: int, size: int) -> DataFrame:
-    """Rows start..start+size-1 of the order, counted from 1."""
-    if start + size <= TOP_K_ROWS:
-        return df.orderBy(*order).offset(start - 1).limit(size)
+    """Rows start..start+size-1 of the order, counted from 1.
+
+    The rows are numbered where they lie in the order, so no task gathers the pages before.
+    """
     numbered = running_position(df, [], order, "_position")
     return numbered.where(F.col("_position").between(start, start + size - 1)).drop("_position")
 

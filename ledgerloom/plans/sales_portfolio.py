@@ -9,8 +9,6 @@ from ..functions.casts import safe_bigint
 from ..functions.dates import parse_timestamp, same_day_flag
 from ..functions.labels import connection_type, free_sale_flag, pixel_flags
 from ..functions.texts import ip_prefix
-from ..operators.lookups import inner_join
-from ..operators.paging import ordered_limit
 from ..operators.projection import apply_mapping, with_constants, with_load_stamp
 
 # Mapping lists (source, source type, target, target type).
@@ -143,16 +141,11 @@ def _with_times(df: DataFrame, names: list[str]) -> DataFrame:
     return df.withColumns({n: parse_timestamp(n) for n in names if n in df.columns})
 
 
-def recent_customers(customers: DataFrame, limit: int | None = None) -> DataFrame:
-    """Mapped subscriptions after the start date.
-
-    A trial load may be limited; it then takes the lowest row ids, so that it can be
-    repeated.
-    """
-    recent = _with_times(
+def recent_customers(customers: DataFrame) -> DataFrame:
+    """Mapped subscriptions after the start date."""
+    return _with_times(
         apply_mapping(customers, CUSTOMERS), ["subscribetime", "unsubscribetime"]
     ).where(F.col("subscribetime") > F.lit(SUBSCRIBED_AFTER).cast("timestamp_ntz"))
-    return recent if limit is None else ordered_limit(recent, ["ref_cust_table_rid"], limit)
 
 
 def customer_activity(data: DataFrame) -> DataFrame:
@@ -171,28 +164,22 @@ def first_billings(info: DataFrame) -> DataFrame:
 
 def sales_portfolio(
     customers: DataFrame, data: DataFrame, info: DataFrame, offers: DataFrame, affiliates: DataFrame,
-    flows: DataFrame, gateway: str, country: str, run_date: str, limit: int | None = None,
+    flows: DataFrame, gateway: str, country: str, run_date: str,
 ) -> DataFrame:
     """The portfolio's 52 columns, ready for the warehouse.
 
     Whether any first billing exists is a scalar subquery, not a job of its own.
     Timestamps leave as text.
     """
-    sold = inner_join(
-        inner_join(
-            recent_customers(customers, limit), apply_mapping(offers, OFFERS),
-            F.col("offer_id") == F.col("offerid"),
-        ).drop("offer_id"),
-        apply_mapping(affiliates, AFFILIATES),
-        "affiliate_id",
+    sold = (
+        recent_customers(customers).join(apply_mapping(offers, OFFERS), F.col("offer_id") == F.col("offerid"))
+        .drop("offer_id").join(apply_mapping(affiliates, AFFILIATES), "affiliate_id")
     )
     flow = apply_mapping(flows, FLOWS).withColumnRenamed("flow_type", "_flow")
-    activity = inner_join(
-        customer_activity(data), flow, safe_bigint("flow_type") == F.col("_flow")
-    ).drop("_flow")
-    any_billing = first_billings(info).agg((F.count("*") > 0).cast("int").alias("n")).scalar()
+    activity = customer_activity(data).join(flow, safe_bigint("flow_type") == F.col("_flow")).drop("_flow")
+    any_billing = first_billings(info).limit(1).agg((F.count("*") > 0).cast("int").alias("n")).scalar()
     free, paid = pixel_flags("offerid", "offer_price")
-    joined = inner_join(sold, activity, "ref_cust_table_rid").withColumns(
+    joined = sold.join(activity, "ref_cust_table_rid").withColumns(
         {
             "ip2": ip_prefix("remoteip", 2),
             "ip3": ip_prefix("remoteip", 3),

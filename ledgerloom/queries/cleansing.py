@@ -225,9 +225,12 @@ def seat_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explode_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of every whole text between `, `, with their first six characters, counted."""
+    """Pieces of every whole text between `, `, counted; a piece is named by its hash, and
+    its first six characters stand beside it."""
     pieces = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", ", ")).alias("tag"))
-    return pieces.groupBy("doc_id", F.substring("tag", 1, 6).alias("tag_start")).agg(F.count("*").alias("n"))
+    return pieces.groupBy("doc_id", F.md5("tag").alias("tag"), F.substring("tag", 1, 6).alias("tag_start")).agg(
+        F.count("*").alias("n")
+    )
 
 
 PICTURES = """SELECT page_id, 'img' || CAST(page_id AS STRING) || CASE WHEN page_id % 7 = 0 THEN '' ELSE '.jpg' END AS key,
@@ -355,8 +358,8 @@ ORACLES = {
         seat_row || CAST(TRY_CAST(seat_col AS BIGINT) AS VARCHAR) AS seat FROM src""",
         src=SEATS,
     ),
-    "explode_tags": """SELECT doc_id, substr(tag, 1, 6) AS tag_start, COUNT(*) AS n
-        FROM (SELECT doc_id, unnest(string_split(text, ', ')) AS tag FROM documents) GROUP BY ALL""",
+    "explode_tags": """SELECT doc_id, md5(tag) AS tag, substr(tag, 1, 6) AS tag_start, COUNT(*) AS n
+        FROM (SELECT doc_id, unnest(string_split(text, ', ')) AS tag FROM documents) GROUP BY doc_id, md5(tag), substr(tag, 1, 6)""",
     "rendition_plan": with_inputs(
         """SELECT key, size, target_width, target_height, split_part(key, '.', 1) || '_' || CAST(target_width AS VARCHAR)
           || '_' || CAST(target_height AS VARCHAR) || '.' || CASE WHEN key LIKE '%.%' THEN split_part(key, '.', 2) END

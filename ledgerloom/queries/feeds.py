@@ -10,12 +10,12 @@ from ..plans.feeds import month_chunks as chunks_of
 from ..plans.feeds import updated_in_range, web_report as web_report_of
 from ..session import scratch_dir
 from ..sources import feeds
-from ..sources.tables import GATEWAY_TABLE, create_view, gateway_table, where_equal
+from ..sources.tables import GATEWAY_TABLE, create_view, gateway_table
 from .base import derive, sql, table
 
 
 def scan_param(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table named by a job argument, pruned by a mapping list and filtered."""
+    """A table named by a job argument, pruned by a mapping list."""
     events = table(spark, sf_dir, "events")
     create_view(events, GATEWAY_TABLE.format(gateway="site", country="my", part="events"))
     mapping = [
@@ -23,7 +23,7 @@ def scan_param(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("event_type", "string", "kind", "string"),
         ("user_id", "bigint", "user", "string"),
     ]
-    return where_equal(gateway_table(spark, "site_my", "events", mapping), kind="click", user="7")
+    return gateway_table(spark, "site_my", "events", mapping)
 
 
 RECORDS = """SELECT event_id AS id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS value,
@@ -138,8 +138,7 @@ QUERIES = {
     "range_ends": range_ends,
 }
 ORACLES = {
-    "scan_param": """SELECT event_id AS id, event_type AS kind, CAST(user_id AS VARCHAR) AS "user" FROM events
-        WHERE event_type = 'click' AND user_id = 7""",
+    "scan_param": """SELECT event_id AS id, event_type AS kind, CAST(user_id AS VARCHAR) AS "user" FROM events""",
     "json_pages": sql(RECORDS),
     "web_report": """SELECT event_id AS position, CAST(event_id AS VARCHAR) AS "ga:sessions",
         substr(CAST(ts AS VARCHAR), 1, 10) AS "ga:date", event_type AS "ga:userType", CAST(user_id AS VARCHAR) AS "ga:users",

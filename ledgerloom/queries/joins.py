@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.texts import stable_id
 from ..operators.lookups import (
-    drop_matches, first_per_key, inner_join, keep_matches, last_value_per_key, with_parent,
+    drop_matches, first_per_key, keep_matches, last_value_per_key, with_parent,
 )
 from ..operators.sets import append_all, union_distinct
 from ..operators.upsert import update_column, upsert
@@ -27,7 +27,7 @@ def kv_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One join in place of one index query per row."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return inner_join(customers, nations, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
 
 
 PART_TITLES = "SELECT p_partkey, p_name || ' ' || CAST(p_partkey % 500 AS STRING) AS title FROM {part}"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.casts import int_or_zero
 from ..functions.dates import same_day_flag
 from ..functions.labels import any_present_flag, connection_type, free_sale_flag, pixel_flags
 from ..operators.measures import hold_out_months, row_count
@@ -172,7 +173,7 @@ WHERE s.d <= (SELECT max(d) - INTERVAL 6 MONTH FROM s) AND h.d <= (SELECT max(d)
 
 def holiday_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = ["flag_a", "flag_b", "flag_c"]
-    filled = {f: F.coalesce(f, F.lit(0)).try_cast("int") for f in flags}
+    filled = {f: int_or_zero(f) for f in flags}
     calendar = derive(spark, sf_dir, CALENDAR).withColumn("holiday", any_present_flag(*flags))
     return calendar.withColumns(filled)
 

@@ -24,8 +24,7 @@ AMOUNTS = """CAST(l_extendedprice AS DECIMAL(18,4)) AS {p}_tkt_amt,
     CAST(CAST(l_quantity AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4))
         AS {p}_tkt_surc_gst_amt"""
 
-# Both sides grow with the data, so they are merge joined at any size.
-TICKETS = f"""SELECT /*+ MERGE(o) */ l_orderkey % 25 AS ttd_loc_id, {DAY_TEXT} AS ttd_bus_date,
+TICKETS = f"""SELECT l_orderkey % 25 AS ttd_loc_id, {DAY_TEXT} AS ttd_bus_date,
     CAST(l_orderkey AS STRING) AS ttd_booking_id, CAST(l_orderkey AS STRING) AS ttd_show_id,
     CAST(l_partkey AS STRING) AS ttd_row_id, CAST(l_suppkey AS STRING) AS ttd_col_id,
     CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'EPAY' WHEN '2' THEN 'KIOSK01' WHEN '3' THEN 'IOS'
@@ -58,6 +57,8 @@ SCHEDULE_B = f"""SELECT o_orderkey AS showid, o_orderkey % 25 AS locid, {SHOW_DA
     AND o_orderdate < TIMESTAMP '2000-01-01 00:00:00'"""
 SCHEDULE_C = f"""SELECT o_orderkey AS showid, o_orderkey % 25 AS locid, {SHOW_DATE} AS showdate,
     50 + o_orderkey % 200 AS totalseats FROM {{orders}} WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'"""
+SCHEDULES = f"""SELECT showid, totalseats FROM ({SCHEDULE_A}) AS a UNION ALL SELECT showid, totalseats FROM ({SCHEDULE_B}) AS b
+    UNION ALL SELECT showid, totalseats FROM ({SCHEDULE_C}) AS c"""
 
 VIEW_INPUTS = dict(
     ticket=TICKETS, refund=REFUNDS, film=FILMS, film_parent=FILM_PARENTS, ticket_type=TICKET_TYPES,
@@ -79,7 +80,7 @@ def ticket_sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ticket_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The view's measures at a coarser grain, where tickets and bookings must be
     counted distinctly."""
-    tickets, seats = derive(spark, sf_dir, TICKETS), derive(spark, sf_dir, SCHEDULE_B).select("showid", "totalseats")
+    tickets, seats = derive(spark, sf_dir, TICKETS), derive(spark, sf_dir, SCHEDULES)
     joined = tickets.join(seats, safe_bigint("ttd_show_id") == F.col("showid"))
     keys = ["ttd_loc_id", "ttd_pos_no"]
     nbo = rounded_sum(
@@ -164,7 +165,7 @@ WHERE NOT EXISTS (SELECT 1 FROM refund WHERE CAST(trd_booking_id AS DOUBLE) = CA
   AND trd_row_id = ttd_row_id AND trd_col_id = ttd_col_id)"""
 
 # The rollups' tables.
-SOLD = f"""SELECT /*+ MERGE(o) */ CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS tic_booking_id,
+SOLD = f"""SELECT CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS tic_booking_id,
     CAST(l_suppkey AS STRING) AS tic_col_id, CAST(l_partkey AS STRING) AS tic_row_id,
     CAST(l_suppkey % 12 AS STRING) AS tic_hall_id, CAST(l_orderkey AS STRING) AS tic_show_id,
     CAST((o_orderkey % 24) * 100 + 30 AS STRING) AS tic_show_time, CAST(o_orderkey % 2000 AS STRING) AS tic_film_id,
@@ -277,7 +278,7 @@ ORACLES = {
         CAST(ROUND(SUM({NBO}), 2) AS DOUBLE) / NULLIF(CAST(COUNT(DISTINCT ttd_ticket_no) AS DOUBLE), 0) AS atp,
         ROUND(CAST(COUNT(DISTINCT ttd_ticket_no) AS DOUBLE) / CAST(SUM(totalseats) AS DOUBLE) * 100, 2) AS occupancy_rate
         FROM ticket JOIN schedule ON TRY_CAST(ttd_show_id AS BIGINT) = showid GROUP BY ALL""",
-        ticket=TICKETS, schedule=SCHEDULE_B,
+        ticket=TICKETS, schedule=SCHEDULES,
     ),
     "refund_anti": with_inputs(REFUND_ANTI_SQL, ticket=TICKETS, refund=REFUNDS),
     "hall_lookup": with_inputs(

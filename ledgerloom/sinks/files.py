@@ -46,7 +46,6 @@ def range_named_path(folder: str, name: str, start: str, end: str) -> str:
 
 
 def archive(df: DataFrame, path: str, day: str) -> None:
-    """A copy of the current table below its archive day."""
-    df.withColumn("archive_date", F.lit(day).cast("date")).write.mode("append").partitionBy(
-        "archive_date"
-    ).parquet(path)
+    """A copy of the current table below its archive day. A rerun replaces the day."""
+    dated = df.withColumn("archive_date", F.lit(day).cast("date"))
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archive_date").parquet(path)

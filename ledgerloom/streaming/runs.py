@@ -21,11 +21,6 @@ def file_stream(
     return reader.parquet(path)
 
 
-def json_messages(bodies: DataFrame, body: str, schema: T.StructType | str) -> DataFrame:
-    """A stream of JSON texts as columns."""
-    return bodies.select(F.from_json(body, schema).alias("m")).select("m.*")
-
-
 def to_table(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
     every: str | None = None,
