@@ -37,6 +37,20 @@ def codes(text: str, order: int) -> np.ndarray:
     return out
 
 
+def _distinct(texts, order: int, most: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of texts and their counts, about `most` characters at a time."""
+    found, held, size = [], [np.zeros(0, np.int64)], 0
+    for text in texts:
+        held.append(codes(text, order))
+        size += len(held[-1])
+        if size > most:
+            found.append(np.unique(np.concatenate(held), return_counts=True))
+            held, size = [], 0
+    found.append(np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True))
+    distinct, place = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+    return distinct, np.bincount(place, np.concatenate([f[1] for f in found]), len(distinct)).astype(np.int64)
+
+
 def _count(order: int):
     """For a block: its distinct n-grams by language, with their count in trusted documents."""
 
@@ -46,10 +60,9 @@ def _count(order: int):
         docs = frame[~is_label]
         parts = []
         for lang, own in docs.groupby("lang"):
-            trusted = [codes(t, order) for i, t in zip(own.doc_id, own.text, strict=True) if i in good]
-            other = [codes(t, order) for i, t in zip(own.doc_id, own.text, strict=True) if i not in good]
-            seen, n = np.unique(np.concatenate([np.zeros(0, np.int64), *trusted]), return_counts=True)
-            more = np.setdiff1d(np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(c) for c in other)])), seen)
+            trusted = own.doc_id.isin(good).to_numpy()
+            seen, n = _distinct(own.text[trusted], order)
+            more = np.setdiff1d(_distinct(own.text[~trusted], order)[0], seen)
             code = np.concatenate((seen, more))
             parts.append(pd.DataFrame({"block": int(key[0]), "lang": lang, "code": code, "n": np.concatenate((n, np.zeros(len(more), np.int64)))}))
         return pd.concat(parts) if parts else pd.DataFrame(columns=["block", "lang", "code", "n"])
