@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from samples import prose
 
 from ledgerloom.llm.common import components
 from ledgerloom.llm.html_text import extract_text, main_text, trained
@@ -9,7 +10,6 @@ from ledgerloom.llm.quality import classify_quality, codes, symbols
 from ledgerloom.llm.toxicity import label_model, score_toxicity
 from ledgerloom.llm.vector_links import CoverTree, close_pairs, link_vectors, unit_vector
 
-from conftest import prose
 
 
 def test_components_of_a_path_and_a_star(frame):
