@@ -14,6 +14,7 @@ from .common import stored
 ROWS = "block int, lang string, code long, n long"
 SCORED = "doc_id long, mark long, lang string, trusted boolean, n_grams long, log_loss double"
 BITS = 16
+USUAL = (0.5, 1.0, 1.5)  # discounts where too few n-grams are rare to estimate them
 AGAIN, AGAIN_LINE = "\x01", "\x02"
 
 
@@ -101,7 +102,8 @@ def log_losses(grams: DataFrame, order: int) -> DataFrame:
 
     Interpolated modified Kneser-Ney: the highest order counts occurrences, lower orders
     count the distinct characters before; three discounts per order and language come from
-    the numbers of n-grams seen once to four times. Every step is an aggregation or an
+    the numbers of n-grams seen once to four times, or are USUAL where one of them is none or
+    the estimate is not positive, so that unseen n-grams keep a share. Every step is an aggregation or an
     equality join on (language, n-gram), sharded by that key.
     """
     # All uses read the same columns, renamed here, so that Spark makes their one input once.
@@ -112,11 +114,13 @@ def log_losses(grams: DataFrame, order: int) -> DataFrame:
     sizes = counts[1].groupBy("lang").agg((F.count("*") + 1).alias("v"))
     out = seen.where("c >= 0").select("lang", "code").join(sizes, "lang", "left").withColumn("p", 1.0 / F.coalesce("v", F.lit(2))).drop("v")
     for n in range(1, order + 1):
-        ones = [F.greatest(F.count_if(F.col("c") == i), F.lit(1)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-        discounts = counts[n].groupBy("lang").agg(*ones).select(
-            "lang", *[F.greatest(i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}"), F.lit(0.0)).alias(f"d{i}") for i in (1, 2, 3)]
-        )
+        met = [F.count_if(F.col("c") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
+        y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
+        discounts = counts[n].groupBy("lang").agg(*met).select("lang", *[
+            F.when((F.least("n1", "n2", "n3", "n4") > 0) & (raw > 0), raw).otherwise(usual).alias(f"d{i}")
+            for i, usual in zip((1, 2, 3), USUAL, strict=True)
+            for raw in [i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}"))]
+        ])
         discount = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         before = F.shiftrightunsigned("code", BITS)
         contexts = (

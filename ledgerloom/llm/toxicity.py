@@ -291,5 +291,5 @@ def score_toxicity(
         votes = np.frombuffer(b"".join(bytes(r["hits"]) for r in rows), np.uint8).reshape(len(rows), -1).astype(float)
         weights = train(votes, *(np.array([r[c] for r in rows], float) for c in ("evidence", "words", "toxic")))
     else:
-        weights = np.concatenate((np.ones(voters.size), [0.0, 0.0, 1.0, 5.0, 0.0, -3.0]))
+        weights = np.concatenate((np.ones(voters.size), [0.0, 0.0, 1.0, 5.0, 0.0, -1.5]))
     return docs.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(_score(voters, weights, limit), SCORED)

@@ -6,7 +6,7 @@ from samples import prose
 
 from ledgerloom.llm.common import components
 from ledgerloom.llm.html_text import extract_text, main_text, trained
-from ledgerloom.llm.quality import classify_quality, codes, symbols
+from ledgerloom.llm.quality import USUAL, classify_quality, codes, symbols
 from ledgerloom.llm.toxicity import label_model, score_toxicity
 from ledgerloom.llm.vector_links import CoverTree, close_pairs, link_vectors, unit_vector
 
@@ -78,7 +78,7 @@ def test_a_page_without_markup_for_its_parts():
 
 
 def quality_rows():
-    good = [(i, prose(i, 60), "en") for i in range(60)]
+    good = [(1000 + i, prose(i, 150), "en") for i in range(200)]
     bad = [(100, prose(100, 60).upper(), "en"), (101, " ".join(f"{w}%%%" for w in prose(101, 60).split()), "en"), (102, "word " * 200, "en"),
            (103, "same line here\n" * 80, "en")]
     odd = [(110, None, "en"), (111, "", "en"), (112, prose(112, 40), None), (113, prose(113, 40), "xx"), (114, "a", "en"), (115, prose(115, 4000), "en"),
@@ -88,12 +88,12 @@ def quality_rows():
 
 def test_quality(spark):
     frame = spark.createDataFrame([(*r, 1) for r in quality_rows()], "doc_id long, text string, lang string, code int").repartition(3)
-    labels = spark.createDataFrame([(i, 1) for i in range(0, 60, 2)] + [(100, 0), (None, 1), (999, 1), (3, None)], "doc_id long, quality int")
-    rows = classify_quality(frame, labels, block_chars=4000).collect()
+    labels = spark.createDataFrame([(1000 + i, 1) for i in range(0, 200, 2)] + [(100, 0), (None, 1), (999, 1), (1003, None)], "doc_id long, quality int")
+    rows = classify_quality(frame, labels, block_chars=30_000).collect()
     kept = {r.doc_id: r.kept for r in rows}
     assert len(rows) == len(quality_rows()) - 1
     assert not any(kept[i] for i in (100, 101, 102, 103)) and all(kept[i] for i in (110, 111, 112, 113, 115))
-    assert sum(kept[i] for i in range(60)) >= 55
+    assert sum(kept[1000 + i] for i in range(200)) >= 190
     assert all(classify_quality(frame, labels.limit(0)).select("kept").toPandas().kept)
     assert classify_quality(frame.limit(0), labels).count() == 0
 
@@ -117,9 +117,12 @@ def test_perplexity_equals_a_plain_model(spark):
     def chance(g, n):
         if n == 0:
             return 1 / (len(tables[1]) + 1)
-        count = [max(1, sum(c == k for c in tables[n].values())) for k in (1, 2, 3, 4)]
-        y = count[0] / (count[0] + 2 * count[1])
-        d = [max(0, k - (k + 1) * y * count[k] / count[k - 1]) for k in (1, 2, 3)]
+        count = [sum(c == k for c in tables[n].values()) for k in (1, 2, 3, 4)]
+        d = list(USUAL)
+        if all(count):
+            y = count[0] / (count[0] + 2 * count[1])
+            raw = [k - (k + 1) * y * count[k] / count[k - 1] for k in (1, 2, 3)]
+            d = [r if r > 0 else u for r, u in zip(raw, USUAL, strict=True)]
         below = {k: c for k, c in tables[n].items() if k[:-1] == g[-n:-1]}
         if not below:
             return chance(g, n - 1)
