@@ -49,11 +49,12 @@ class Shingler:
 
 
 class Sketcher:
-    """`bands * rows` minima of a shingle set: their low four bits packed, and a hash per band."""
+    """`size` minima of a shingle set: their low four bits packed, and a hash for each band of
+    `rows` of the first ones."""
 
-    def __init__(self, bands: int, rows: int, seed: int = 11):
+    def __init__(self, size: int, bands: int, rows: int, seed: int = 11):
         random = np.random.default_rng(seed)
-        self.bands, self.rows, size = bands, rows, bands * rows
+        self.bands, self.rows = bands, rows
         self.flip = random.integers(0, 1 << 32, size, dtype=np.uint32)
         self.factor = random.integers(0, 1 << 31, size, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.mix = random.integers(1, 1 << 63, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,7 +69,7 @@ class Sketcher:
                 values = half[at : at + 2048, None] ^ self.flip[part]
                 values *= self.factor[part]
                 np.minimum(low[part], values.min(axis=0), out=low[part])
-        wide = low.reshape(self.bands, self.rows).astype(np.uint64)
+        wide = low[: self.bands * self.rows].reshape(self.bands, self.rows).astype(np.uint64)
         bands = ((wide + np.uint64(1)) * self.mix).sum(axis=1, dtype=np.uint64) ^ self.band
         bands ^= bands >> np.uint64(31)
         bands *= np.uint64(0xBF58476D1CE4E5B9)
@@ -78,9 +79,9 @@ class Sketcher:
         return (nibbles[::2] | nibbles[1::2] << np.uint8(4)).view(np.int64), bands.view(np.int64)
 
 
-def _sketch(words: int, bands: int, rows: int):
+def _sketch(words: int, size: int, bands: int, rows: int):
     def run(frames):
-        shingle, sketch = Shingler(words), Sketcher(bands, rows)
+        shingle, sketch = Shingler(words), Sketcher(size, bands, rows)
         for frame in frames:
             out = []
             for doc, text in zip(frame.doc_id, frame.text, strict=True):
@@ -129,44 +130,55 @@ def differing(left: str, right: str, longs: int) -> Column:
     return total
 
 
+def first_shared(left: str, right: str, bands: int) -> Column:
+    """The first band in which two sketches agree."""
+    return F.coalesce(*[F.when(F.col(left)[i] == F.col(right)[i], F.lit(i)) for i in range(bands)])
+
+
 def near_copies(
-    documents: DataFrame, percent: int = 75, words: int = 5, bands: int = 32, rows: int = 4, margin: float = 0.2,
-    id_col: str = "doc_id", text_col: str = "text",
+    documents: DataFrame, percent: int = 75, words: int = 5, size: int = 256, bands: int = 32, rows: int = 4,
+    margin: float = 0.11, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Documents are linked when 100 * |intersection| >= percent * |union| of their shingles; a
     component is named by its smallest id, which is kept.
 
-    1. One scan makes a sketch per document: 128 minima, of which four bits each are kept,
+    1. One scan makes a sketch per document: `size` minima, of which four bits each are kept,
        and one hash for each band of `rows` minima. Equal sets become one representative.
-       Two sets of similarity 0.75 share no band with probability 5e-6.
-    2. In each bucket every member is compared with the bucket's smallest one. The packed
-       bits estimate the similarity, corrected for chance agreement (1 in 16). The pair with
-       the best estimate of each member is confirmed on full sets.
+       Two sets of similarity 0.75 share no band of four with probability 5e-6.
+    2. Buckets of two and three bands at once hold very similar sets, those of one band the
+       rest. In each, every member is compared with one leader. The packed bits estimate the
+       similarity, corrected for chance agreement (1 in 16); pairs whose estimate is within
+       `margin` of the limit, four standard deviations, are confirmed on full sets: all of the
+       fine buckets, and each member's best of the others.
     3. Buckets that still hold several components compare the members outside their leader's
-       component with all others. Pairs whose estimate is within `margin` of the limit, five
-       standard deviations, are confirmed too. No pair inside a component is made.
+       component with all others, a pair in its first shared bucket only, and confirm in the
+       same way. No pair inside a component is made.
 
     Null or empty text, or no words: no shingles, a component of its own. Null id: left out.
     Rows that repeat an id stand for one document that holds all their sets. No documents: no
     rows.
     """
     docs = texts_of(documents, id_col, text_col)
-    size, longs = bands * rows, bands * rows // 16
+    longs = size // 16
     # agreement = 1/16 + 15/16 * similarity
     most = int(size - size * (1 + 15 * (percent / 100 - margin)) / 16)
-    sketch = stored(docs.mapInPandas(_sketch(words, bands, rows), SKETCH), "sketch")
+    sketch = stored(docs.mapInPandas(_sketch(words, size, bands, rows), SKETCH), "sketch")
     classes = sketch.where("n_shingles > 0").groupBy("high", "low").agg(F.min("doc_id").alias("rep"))
     reps = stored(
         sketch.withColumnRenamed("doc_id", "rep").join(classes, ["high", "low", "rep"], "left_semi").select("rep", "bits", "bands"),
         "representatives",
     )
 
-    held = reps.select("rep", F.explode("bands").alias("key"))
-    leaders = held.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where("n > 1").drop("n")
-    shared = stored(held.join(leaders, "key"), "buckets")
-    bits = reps.join(shared.select("rep").distinct(), "rep", "left_semi").select("rep", "bits")
+    # Key 0..bands-1: one band; -1: three bands together; -2: two.
+    fine = [F.struct(F.lit(-k).alias("band"), F.xxhash64(F.lit(i), *[F.col("bands")[i + j] for j in range(4 - k)]).alias("key"))
+            for k in (1, 2) for i in range(0, bands - 4 + k + 1, 4 - k)]
+    single = F.transform("bands", lambda key, i: F.struct(i.alias("band"), key.alias("key")))
+    held = reps.select("rep", F.explode(F.concat(single, F.array(*fine))).alias("k")).select("rep", "k.band", "k.key")
+    full = held.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where("n > 1").drop("n")
+    shared = stored(held.join(full, ["band", "key"]), "buckets")
+    bits = reps.join(shared.select("rep").distinct(), "rep", "left_semi")
     texts = stored(
         docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "candidates"
     )
@@ -176,44 +188,40 @@ def near_copies(
         a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
         return pairs.join(b, "b").join(a, "a").mapInPandas(_confirm(words, percent), "a long, b long").distinct()
 
-    def estimated(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.join(bits.select(F.col("rep").alias("a"), F.col("bits").alias("bits_a")), "a")
-            .join(bits.select(F.col("rep").alias("b"), F.col("bits").alias("bits_b")), "b")
-            .withColumn("off", differing("bits_a", "bits_b", longs))
-            .where(F.col("off") <= most)
-            .select("a", "b", "off")
-        )
-
-    stars = estimated(shared.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
-    # The least difference and then the smallest leader, as one number.
-    tried = stored(
-        stars.groupBy("b").agg(F.min("off").alias("off")).join(stars, ["b", "off"])
-        .groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "stars"
+    pairs = shared.where("rep <> leader").groupBy(F.col("leader").alias("a"), F.col("rep").alias("b")).agg(F.min("band").alias("band"))
+    stars = (
+        pairs.join(bits.select(F.col("rep").alias("a"), F.col("bits").alias("bits_a")), "a")
+        .join(bits.select(F.col("rep").alias("b"), F.col("bits").alias("bits_b")), "b")
+        .withColumn("off", differing("bits_a", "bits_b", longs)).where(F.col("off") <= most).select("a", "b", "band", "off")
     )
+    best = stars.groupBy("b").agg(F.min("off").alias("least"))
+    tried = stored(stars.join(best, "b").where("band < 0 OR off = least").select("a", "b"), "stars")
     links = stored(confirmed(tried), "links")
 
     joined = components(links)
-    named = shared.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "leader", "rep", F.coalesce("component", "rep").alias("component")
+    named = shared.where("band >= 0").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "band", "key", "leader", "rep", F.coalesce("component", "rep").alias("component")
     )
-    mixed = named.groupBy("key").agg(
+    mixed = named.groupBy("band", "key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.min(F.when(F.col("rep") == F.col("leader"), F.col("component"))).alias("main"),
-    ).where("low <> high").select("key", "main")
-    open_rows = named.join(mixed, "key").join(bits, "rep").select("key", "rep", "component", "main", "bits")
+    ).where("low <> high").select("band", "key", "main")
+    open_rows = named.join(mixed, ["band", "key"]).join(bits, "rep")
     left = open_rows.where("component <> main").select(
-        "key", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("bits").alias("bits_x")
+        "band", "key", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("bits").alias("bits_x"), F.col("bands").alias("bands_x")
+    )
+    right = open_rows.select(
+        F.col("band").alias("band_y"), F.col("key").alias("key_y"), "main", F.col("rep").alias("y"), F.col("component").alias("cy"),
+        F.col("bits").alias("bits_y"), F.col("bands").alias("bands_y")
     )
-    right = open_rows.select("key", "main", F.col("rep").alias("y"), F.col("component").alias("cy"), F.col("bits").alias("bits_y"))
     crossing = (
         left.join(
-            right, (left["key"] == right["key"]) & (F.col("cx") != F.col("cy"))
+            right, (F.col("band") == F.col("band_y")) & (F.col("key") == F.col("key_y")) & (F.col("cx") != F.col("cy"))
             & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
-            & (differing("bits_x", "bits_y", longs) <= most),
+            & (differing("bits_x", "bits_y", longs) <= most) & (first_shared("bands_x", "bands_y", bands) == F.col("band")),
         )
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .join(tried, ["a", "b"], "left_anti")
     )
     found = components(links.union(confirmed(stored(crossing, "crossing"))))
 
