@@ -118,8 +118,8 @@ def test_portfolio_columns_and_flags(frame):
         (100, "2019-01-01 09:00:00.5", "1.2", "1.2.3", "wifi", 1, 1, 0, 1, 0, 0, "2020", "07", "2019-01-01 10:00:00"),
         (101, None, "1.2", None, "3g", 0, 0, 1, 1, 0, 0, "2020", "07", "2019-01-01 10:00:00"),
     ]
-    none = sales_portfolio.sales_portfolio(args[0], args[1], info.where("charge_price < 0"), *args[3:], "g", "m", "2020-07-09", 1)
-    assert rows(none.select("ref_cust_table_rid", "first_billing_count")) == [(1, 0)]
+    none = sales_portfolio.sales_portfolio(args[0], args[1], info.where("charge_price < 0"), *args[3:], "g", "m", "2020-07-09")
+    assert rows(none.select("ref_cust_table_rid", "first_billing_count")) == [(1, 0), (2, 0)]
 
 
 def test_rollups_count_tickets_or_shows(frame):
