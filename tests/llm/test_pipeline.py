@@ -10,7 +10,7 @@ def test_each_operator_has_one_query():
 
 
 def test_stages(spark, documents, texts, tmp_path):
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(12)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(i, 1, 0) for i in (*range(12), *range(20, 27), *range(30, 33))], "doc_id long, quality int, toxic int")
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     docs, ids = documents, []
     for name, stage in corpus_pipeline.STAGES[:-1]:
