@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 ROWS = "block int, lang string, code long, n long"
-SCORED = "doc_id long, mark long, lang string, trusted boolean, n_grams long, log_loss double"
+SCORED = "doc_id long, mark long, lang string, n_grams long, log_loss double, unseen_loss double"
 BITS = 16
 USUAL = (0.5, 1.0, 1.5)  # discounts where too few n-grams are rare to estimate them
 AGAIN, AGAIN_LINE = "\x01\x03\x04\x05\x06\x07\x08\x0e", "\x02\x0f\x10\x11\x12\x13\x14\x15"
@@ -84,8 +84,62 @@ def _count(order: int):
     return run
 
 
+def _discounts(met: np.ndarray) -> np.ndarray:
+    """The discounts of counts 0, 1, 2 and from 3 on, where `met` n-grams were counted 1 to 4 times."""
+    out = np.array([0.0, *USUAL])
+    if met.min() > 0:
+        y = met[0] / (met[0] + 2 * met[1])
+        raw = np.arange(1, 4) - np.arange(2, 5) * y * met[1:] / met[:-1]
+        out[1:] = np.where(raw > 0, raw, out[1:])
+    return out
+
+
+def unseen_loss(own: np.ndarray, known: np.ndarray, facts: np.ndarray, order: int) -> float | None:
+    """The mean loss of a trusted document under the model of all other trusted text: every
+    count, discount and vocabulary size is what it would be without the document.
+
+    `own` are its n-grams; `facts` are those of the sorted n-grams `known`, by log_losses().
+    None where no other trusted text is left.
+    """
+    gram, times = np.unique(own, return_counts=True)
+    facts = facts[np.searchsorted(known, gram)]
+    code, size, less = gram.view(np.uint64), int(facts[0, -1]), times
+    levels = []
+    for n in range(order, 0, -1):
+        # The distinct n-grams of this order, a row of facts of each, and the place of each code in them.
+        kind, row, key = np.unique(code & np.uint64((1 << BITS * n) - 1), return_index=True, return_inverse=True)
+        count = facts[row, 5 * (n - 1)]
+        if n < order:  # counts here are of the distinct characters before
+            gone = levels[-1][4] == 0
+            below = levels[-1][0][gone] & np.uint64((1 << BITS * n) - 1)
+            less = np.bincount(np.searchsorted(kind, below), minlength=len(kind))
+        left = count - less
+        levels.append((kind, row, key, count, left))
+    size -= int((levels[-1][4] == 0).sum())
+    if size <= 1:
+        return None
+    p = np.full(len(gram), 1.0 / size)
+    for n in range(1, order + 1):
+        kind, row, key, count, left = levels[order - n]
+        met = facts[0, 5 * order + 4 * (n - 1) : 5 * order + 4 * n].astype(float)
+        was, now = (np.bincount(np.minimum(c, 5), minlength=6)[1:5] for c in (count, left))
+        discount = _discounts(met - was + now)
+        _, first, context = np.unique(kind >> np.uint64(BITS), return_index=True, return_inverse=True)
+        stats = facts[row[first], 5 * (n - 1) + 1 : 5 * n].astype(float)
+        total = stats[:, 0] - np.bincount(context, count - left, len(first))
+        taken = np.zeros(len(first))
+        for i in (1, 2, 3):
+            fewer = (np.minimum(count, 3) == i).astype(int) - (np.minimum(left, 3) == i)
+            taken += discount[i] * (stats[:, i] - np.bincount(context, fewer, len(first)))
+        above = np.maximum(left - discount[np.minimum(left, 3)], 0.0)[key]
+        total, taken = total[context][key], taken[context][key]
+        p = np.where(total > 0, (above + taken * p) / np.maximum(total, 1.0), p)
+    return float(-(np.log(p) * times).sum() / len(own))
+
+
 def _score(order: int):
-    """The mean negative log probability of each document of a block."""
+    """The mean negative log probability of each document of a block, and of trusted ones also
+    the one that they would have unseen."""
 
     def run(key, frame, model):
         is_label = frame.text.isna()
@@ -93,14 +147,19 @@ def _score(order: int):
         tables = {}
         for lang, own in model.groupby("lang"):
             own = own.sort_values("code")
-            tables[lang] = own.code.to_numpy(), own.loss.to_numpy()
+            met = own[own.n > 0]
+            facts = np.stack(met.facts.to_list()) if len(met) else None
+            tables[lang] = own.code.to_numpy(), own.loss.to_numpy(), met.code.to_numpy(), facts
         rows = []
         for doc, mark, lang, text in frame.loc[~is_label, ["doc_id", "mark", "lang", "text"]].itertuples(index=False):
             own = codes(text, order)
-            known, loss = tables[lang] if len(own) else (None, None)
-            mean = float(loss[np.searchsorted(known, own)].mean()) if len(own) else None
-            rows.append((doc, mark, lang, doc in good, len(own), mean))
-        return pd.DataFrame(rows, columns=["doc_id", "mark", "lang", "trusted", "n_grams", "log_loss"])
+            mean = unseen = None
+            if len(own):
+                known, loss, met, facts = tables[lang]
+                mean = float(loss[np.searchsorted(known, own)].mean())
+                unseen = unseen_loss(own, met, facts, order) if doc in good else None
+            rows.append((doc, mark, lang, len(own), mean, unseen))
+        return pd.DataFrame(rows, columns=["doc_id", "mark", "lang", "n_grams", "log_loss", "unseen_loss"])
 
     return run
 
@@ -110,8 +169,12 @@ def _low(order: int) -> Column:
 
 
 def log_losses(grams: DataFrame, order: int) -> DataFrame:
-    """(lang, code, loss): -log p of every n-gram in `grams` (block, lang, code, n), where n counts it
-    in trusted text and may be 0.
+    """(lang, code, loss, facts): -log p of every n-gram in `grams` (block, lang, code, n), where n
+    counts it in trusted text and may be 0.
+
+    `facts` of an n-gram are, for each order from 1 on, its count, the sum of the counts of its
+    context and how many of these are 1, 2 and more; then, for each order, how many counts of the
+    language are 1 to 4; then the number of its characters and one.
 
     Interpolated modified Kneser-Ney: the highest order counts occurrences, lower orders
     count the distinct characters before; three discounts per order and language come from
@@ -119,17 +182,16 @@ def log_losses(grams: DataFrame, order: int) -> DataFrame:
     the estimate is not positive, so that unseen n-grams keep a share. Every step is an aggregation or an
     equality join on (language, n-gram), sharded by that key.
     """
-    # All uses read the same columns, renamed here, so that Spark makes their one input once.
-    seen = grams.groupBy(F.col("lang").alias("lang"), F.col("code").alias("code")).agg(F.sum("n").alias("c"), F.count("block").alias("blocks")).where("blocks > 0")
-    counts = {order: seen.where("c > 0").select("lang", "code", "c")}
+    seen = grams.groupBy("lang", "code").agg(F.sum("n").alias("c"))
+    counts = {order: seen.where("c > 0")}
     for n in range(order - 1, 0, -1):
         counts[n] = counts[n + 1].groupBy("lang", _low(n).alias("code")).agg(F.count("*").alias("c"))
     sizes = counts[1].groupBy("lang").agg((F.count("*") + 1).alias("v"))
-    out = seen.where("c >= 0").select("lang", "code").join(sizes, "lang", "left").withColumn("p", 1.0 / F.coalesce("v", F.lit(2))).drop("v")
+    out = seen.select("lang", "code").join(sizes, "lang", "left").withColumn("p", 1.0 / F.coalesce("v", F.lit(2)))
     for n in range(1, order + 1):
         met = [F.count_if(F.col("c") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
         y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
-        discounts = counts[n].groupBy("lang").agg(*met).select("lang", *[
+        discounts = counts[n].groupBy("lang").agg(*met).select("lang", F.array(*[F.col(f"n{i}").cast("long") for i in (1, 2, 3, 4)]).alias(f"met{n}"), *[
             F.when((F.least("n1", "n2", "n3", "n4") > 0) & (raw > 0), raw).otherwise(usual).alias(f"d{i}")
             for i, usual in zip((1, 2, 3), USUAL, strict=True)
             for raw in [i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}"))]
@@ -138,17 +200,23 @@ def log_losses(grams: DataFrame, order: int) -> DataFrame:
         before = F.shiftrightunsigned("code", BITS)
         contexts = (
             counts[n].join(discounts, "lang").withColumn("d", F.least(discount, F.col("c").cast("double")))
-            .groupBy("lang", before.alias("before")).agg(F.sum("c").alias("total"), F.sum("d").alias("taken"))
+            .groupBy("lang", before.alias("before")).agg(
+                F.sum("c").alias("total"), F.sum("d").alias("taken"),
+                F.array(F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.count_if(F.col("c") > 2)).alias(f"all{n}"),
+            )
         )
-        gram = counts[n].join(discounts, "lang").select("lang", F.col("code").alias("key"), F.greatest(F.col("c") - discount, F.lit(0.0)).alias("left"))
+        gram = counts[n].join(discounts, "lang").select("lang", F.col("code").alias("key"), F.col("c").alias(f"c{n}"), F.greatest(F.col("c") - discount, F.lit(0.0)).alias("left"))
         out = (
             out.withColumn("key", _low(n)).withColumn("before", F.shiftrightunsigned("key", BITS))
             .join(gram, ["lang", "key"], "left").join(contexts, ["lang", "before"], "left")
             .withColumn("p", F.when(F.col("total").isNull(), F.col("p")).otherwise(
                 (F.coalesce("left", F.lit(0.0)) + F.col("taken") * F.col("p")) / F.col("total")))
-            .select("lang", "code", "p")
+            .drop("key", "before", "left", "total", "taken")
+            .join(discounts.select("lang", f"met{n}"), "lang", "left")
         )
-    return out.select("lang", "code", (-F.log("p")).alias("loss"))
+    orders = range(1, order + 1)
+    facts = F.concat(*[x for n in orders for x in (F.array(f"c{n}"), F.col(f"all{n}"))], *[F.col(f"met{n}") for n in orders], F.array("v"))
+    return out.select("lang", "code", (-F.log("p")).alias("loss"), facts.alias("facts"))
 
 
 def classify_quality(
@@ -159,17 +227,18 @@ def classify_quality(
     threshold, kept.
 
     Trusted text is all documents labelled of good quality. Each language has its own model
-    and its own threshold, the `quantile` of the perplexities of its trusted documents; what
-    is above it is rejected.
+    and its own threshold, the `quantile` of the perplexities that its trusted documents would
+    have if the model had not seen them; what is above it is rejected.
 
-    1. Documents and labels are dealt by id into blocks of about `block_chars` characters,
-       the only shuffle of texts. A block sends each distinct n-gram once.
+    1. Documents and labels are dealt by id into blocks of about `block_chars` characters, once
+       for counting and once for scoring. A block stores each distinct n-gram once.
     2. N-gram counts and probabilities are aggregated and joined by (language, n-gram), and
        come back to the blocks that hold the n-gram.
-    3. A block scores its documents. Languages' quantiles are mergeable sketches.
+    3. A block scores its documents, trusted ones twice: as all others, and by counts without
+       their own, which takes no second model. Languages' quantiles are mergeable sketches.
 
     Null or empty text: nothing to judge, kept, perplexity null. Null language: a language of
-    its own. A language without trusted text has no threshold and keeps all. Null id: left
+    its own. A language without two trusted texts has no threshold and keeps all. Null id: left
     out. Repeated rows: a row each. Of several labels of a document a good one counts. Labels
     of unknown documents do not count. No documents: no rows.
     """
@@ -188,16 +257,15 @@ def classify_quality(
         .union(known.select(block.alias("block"), "doc_id", F.lit(0).cast("long"), F.lit(""), F.lit(None).cast("string"), "quality"))
         .repartition(blocks, "block")
     )
-    grams = dealt.groupBy("block").applyInPandas(_count(order), ROWS).repartition(
-        max(blocks, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "lang", "code"
+    grams = stored(dealt.groupBy("block").applyInPandas(_count(order), ROWS), "n-grams")
+    own = grams.join(log_losses(grams, order), ["lang", "code"]).select(
+        "block", "lang", "code", "n", "loss", F.when(F.col("n") > 0, F.col("facts")).alias("facts")
     )
-    losses = log_losses(grams, order)
-    own = grams.join(losses, ["lang", "code"]).select("block", "lang", "code", "n", "loss")
     scored = stored(
         dealt.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(_score(order), SCORED), "perplexities"
     )
-    limits = scored.where("trusted AND log_loss IS NOT NULL").groupBy("lang").agg(
-        F.exp(F.percentile_approx("log_loss", quantile, 10_000)).alias("threshold")
+    limits = scored.where("unseen_loss IS NOT NULL").groupBy("lang").agg(
+        F.exp(F.percentile_approx("unseen_loss", quantile, 10_000)).alias("threshold")
     )
     return scored.join(limits, "lang", "left").select(
         "doc_id", "mark", "lang", "n_grams", F.exp("log_loss").alias("perplexity"), "threshold",

@@ -49,3 +49,40 @@ def test_repeated_words_and_lines_are_rejected_by_kind(spark):
 ])
 def test_symbols(text, read):
     assert symbols(text) == read
+
+
+@pytest.mark.parametrize("words", [12, 300])
+def test_thresholds_are_those_of_texts_left_out(spark, words):
+    """Each trusted text judged by a model that is built without it."""
+    frame = spark.createDataFrame([(i, doubled(prose(i % 4, words), i % 4), "en") for i in range(5)], SCHEMA)
+    labels = spark.createDataFrame([(i, 1) for i in range(5)], "doc_id long, quality int")
+    left_out = sorted(
+        classify_quality(frame, labels.where(f"doc_id <> {i}")).where(f"doc_id = {i}").first().perplexity for i in range(5)
+    )
+    for quantile, want in ((0.998, left_out[-1]), (0.5, left_out[2]), (0.1, left_out[0])):
+        got = classify_quality(frame, labels, quantile=quantile).first().threshold
+        assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_one_trusted_text_sets_no_threshold(spark):
+    frame = spark.createDataFrame([(1, prose(1, 50), "en"), (2, prose(2, 50), "en")], SCHEMA)
+    rows = classify_quality(frame, spark.createDataFrame([(1, 1)], "doc_id long, quality int")).collect()
+    assert all(r.kept and r.threshold is None for r in rows)
+
+
+def test_good_texts_outside_the_model_are_kept(spark):
+    """The demands before thresholds were taken from the model's own texts."""
+    good = [(1000 + i, prose(i, 150), "en") for i in range(200)]
+    few = [(2000 + i, prose(300 + i, 150), "fr") for i in range(60)]
+    frame = spark.createDataFrame(good + few, SCHEMA)
+    labels = spark.createDataFrame([(i, 1) for i in (*range(1000, 1200, 2), *range(2000, 2020))], "doc_id long, quality int")
+    kept = {r.doc_id for r in classify_quality(frame, labels).where("kept").collect()}
+    assert sum(i in kept for i, *_ in good) >= 190
+    assert sum(i in kept for i, *_ in few) >= 54
+
+
+def test_copies_and_passages_outside_the_model_are_kept(documents, spark):
+    """What the pipeline's test demanded when its fixture had these twelve labels."""
+    labels = spark.createDataFrame([(i, 1) for i in range(12)], "doc_id long, quality int")
+    kept = {r.doc_id for r in classify_quality(documents, labels).where("kept").collect()}
+    assert {*range(12), 20, 30, 31} <= kept
