@@ -137,7 +137,7 @@ def first_shared(left: str, right: str, bands: int) -> Column:
 
 def near_copies(
     documents: DataFrame, percent: int = 75, words: int = 5, size: int = 256, bands: int = 32, rows: int = 4,
-    margin: float = 0.11, id_col: str = "doc_id", text_col: str = "text",
+    margin: float = 0.16, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -150,7 +150,7 @@ def near_copies(
     2. Buckets of two and three bands at once hold very similar sets, those of one band the
        rest. In each, every member is compared with one leader. The packed bits estimate the
        similarity, corrected for chance agreement (1 in 16); pairs whose estimate is within
-       `margin` of the limit, four standard deviations, are confirmed on full sets: all of the
+       `margin` of the limit, 5.7 standard deviations, are confirmed on full sets: all of the
        fine buckets, and each member's best of the others.
     3. Buckets that still hold several components compare the members outside their leader's
        component with all others, a pair in its first shared bucket only, and confirm in the
