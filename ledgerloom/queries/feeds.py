@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import covered_range_end, next_range_start
 from ..plans.feeds import month_chunks as chunks_of
 from ..plans.feeds import updated_in_range, web_report as web_report_of
+from ..plans.increments import catch_up, land_next
 from ..session import scratch_dir
+from ..sinks.ledger import Ledger, Load
 from ..sources import feeds
 from ..sources.tables import GATEWAY_TABLE, create_view, gateway_table
 from .base import derive, sql, table
@@ -108,6 +112,33 @@ def incremental_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updated_in_range(_feed(spark, sf_dir), None, "2024-01-20")
 
 
+# Feeds and where they begin; the third has no history, so its first load is yesterday's.
+FEEDS = {"click": "2024-01-05", "view": "2024-01-08", "purchase": None}
+
+
+class Interrupted(Exception):
+    """A run that ends between writing a range and entering it."""
+
+
+def incremental_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three feeds landed on two run days. On the first every run ends once before its entry, so
+    a range is landed twice; the ledger shows each record once."""
+    path = scratch_dir(spark, "increments")
+    ledger, events = Ledger(spark, f"{path}/ledger"), table(spark, sf_dir, "events")
+
+    def interrupt(load: Load) -> None:
+        raise Interrupted(load.folder)
+
+    for today in ("2024-01-12", "2024-01-20"):
+        for feed, start in FEEDS.items():
+            records = events.where(F.col("event_type") == feed).select("event_id", F.col("ts").alias("updated_at"))
+            if today == "2024-01-12":
+                with suppress(Interrupted):
+                    land_next(records, ledger, feed, f"{path}/landed", today, start, before_entry=interrupt)
+            catch_up(records, ledger, feed, f"{path}/landed", today, start)
+    return ledger.read(records.schema)
+
+
 def month_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounds = table(spark, sf_dir, "orders").agg(
         F.to_date(F.min("o_orderdate")).alias("first"), F.to_date(F.max("o_orderdate")).alias("last")
@@ -134,6 +165,7 @@ QUERIES = {
     "object_events": object_events,
     "incremental_cut": incremental_cut,
     "incremental_daily": incremental_daily,
+    "incremental_ledger": incremental_ledger,
     "month_chunks": month_chunks,
     "range_ends": range_ends,
 }
@@ -155,6 +187,16 @@ ORACLES = {
     "incremental_cut": """SELECT event_id, ts AS updated_at FROM events
         WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-19 00:00:00'""",
     "incremental_daily": "SELECT event_id, ts AS updated_at FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-19'",
+    "incremental_ledger": """SELECT event_id, ts AS updated_at, event_type AS feed, first, label FROM events
+        JOIN (VALUES ('click', DATE '2024-01-05', DATE '2024-01-11', DATE '2024-01-10'),
+          ('view', DATE '2024-01-08', DATE '2024-01-11', DATE '2024-01-10'),
+          ('click', DATE '2024-01-11', DATE '2024-01-12', DATE '2024-01-11'), ('view', DATE '2024-01-11', DATE '2024-01-12', DATE '2024-01-11'),
+          ('purchase', DATE '2024-01-11', DATE '2024-01-12', DATE '2024-01-11'),
+          ('click', DATE '2024-01-12', DATE '2024-01-19', DATE '2024-01-18'), ('view', DATE '2024-01-12', DATE '2024-01-19', DATE '2024-01-18'),
+          ('purchase', DATE '2024-01-12', DATE '2024-01-19', DATE '2024-01-18'),
+          ('click', DATE '2024-01-19', DATE '2024-01-20', DATE '2024-01-19'), ('view', DATE '2024-01-19', DATE '2024-01-20', DATE '2024-01-19'),
+          ('purchase', DATE '2024-01-19', DATE '2024-01-20', DATE '2024-01-19')) l(feed, first, until, label)
+        ON feed = event_type AND ts >= first AND ts < until""",
     "month_chunks": """SELECT CAST(s AS DATE) AS range_start,
         least(CAST(s + INTERVAL 1 MONTH AS DATE), DATE '2001-07-19') AS range_end
         FROM (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 MONTH)) AS s FROM orders)""",
