@@ -10,30 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.slices import stored
+from .records import file_records, parsed
 
 
-def latin_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """Comma CSV with a header row in Latin-1, line ends inside quotes kept.
-
-    Files with such line ends cannot be split, so a large table should come as many
-    files; pass `multi_line=False` where no field holds a line end.
-    """
-    return (
-        spark.read.schema(schema)
-        .options(header=True, quote='"', escape='"', encoding="iso-8859-1", multiLine=multi_line)
-        .csv(path)
-    )
+def latin_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Comma CSV with a header row in Latin-1, line ends inside quotes kept; files are split."""
+    return parsed(file_records(spark, path, "ISO-8859-1"), ddl(schema))
 
 
 def numbered_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """As `latin_csv` with blanks as empty text and `row_no` rising with the file order.
-
-    The rows are stored with their numbers, so every later pass sees the same ones.
-    """
-    rows = latin_csv(spark, path, schema)
-    blanks = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in rows.columns]
-    return stored(rows.select(F.monotonically_increasing_id().alias("row_no"), *blanks), "landed-rows")
+    """As `latin_csv` with blanks as empty text and `row_no` rising with the order of the files'
+    names and of their rows."""
+    rows = parsed(file_records(spark, path, "ISO-8859-1"), ddl(schema), "row_no")
+    return rows.select("row_no", *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in schema.names])
 
 
 def csv_columns(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str]) -> DataFrame:
@@ -44,26 +33,14 @@ def csv_columns(spark: SparkSession, path: str, schema: T.StructType, columns: S
 def sheet_export(
     spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str], preamble: int = 4
 ) -> DataFrame:
-    """A sheet exported as CSV: preamble lines, a header line, then rows.
+    """A sheet exported as CSV: preamble lines, a header line, then rows, which may hold line ends
+    inside quotes. Files are split; what is counted of a block is one row."""
+    rows = parsed(file_records(spark, path, skip=preamble), ddl(schema))
+    return rows.select(*[F.col(f"`{c}`") for c in columns])
 
-    A file's first lines are found from the row ids of its first split: inside one
-    split they rise by one per line. One number per file is all that is gathered.
-    """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
-    )
-    starts = lines.where("block = 0").groupBy("file").agg(F.min("id").alias("first_id"))
-    first_lines = (F.col("block") == 0) & (F.col("id") - F.col("first_id") <= preamble)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return (
-        lines.join(starts, "file")
-        .where(~first_lines)
-        .select(F.from_csv("value", ddl).alias("r"))
-        .select(*[F.col(f"r.`{c}`") for c in columns])
-    )
+
+def ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def text_lines(spark: SparkSession, path: str, containing: str | None = None) -> DataFrame:
