@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.upsert import upsert
-from ..plans.catalogue import catalogue_load
+from ..plans.catalogue import SCHEMA, catalogue_load
 from ..plans.images import register_images, with_main_images
+from ..session import scratch_dir
+from ..sinks.buckets import BUCKET, put_buckets, read_buckets, write_buckets
+from ..sources.files import numbered_csv
 from .base import derive, with_inputs
 
 NOW = "2020-03-04 05:06:07.000008"
@@ -79,6 +82,68 @@ def catalogue_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(current, _load(spark, sf_dir)["product"], ["productId"], ["name"])
 
 
+# Fixed by the load: every column of the six tables, as (key, {column: type of the others}).
+TEXT, REAL, WHOLE, FLAG = "'old'", "CAST(0.5 AS DOUBLE)", "CAST(7 AS INT)", "true"
+STAMPS = {"createdAt": TEXT, "updatedAt": TEXT}
+EFFECT = {**STAMPS, "effectiveStartDate": TEXT, "effectiveEndDate": TEXT, "isDisabled": FLAG, "modifiedBy": TEXT, "__typename": TEXT}
+PRODUCT_TEXTS = [
+    "divisionCode", "divisionDesc", "itemCategoryCode", "itemCategoryDesc", "__typename", "productGroupCode", "productGroupDesc",
+    "title", "description", "uom", "sku", "categories", "image", "departmentLevel1", "departmentLevel2", "updatedAt",
+    "discountStartDate", "pickupDiscountStartDate", "itemPublishStartDate", "itemPublishEndDate", "createdAt",
+]
+PRODUCT_REALS = [
+    "dimension", "temperature", "price", "pickupPrice", "discount", "discountedPrice", "pickupDiscount", "pickupDiscountedPrice",
+    "ecommerceMaximumQuantity", "pickupMaximumQuantity", "minFoodPreparationDuration",
+]
+LINKS = """SELECT 'l' || lpad(CAST(p_partkey AS STRING), 9, '0') AS "{id}", p_brand AS "{one}", p_type AS "{two}"
+    FROM {{part}} WHERE p_size < 5"""
+STORED = {
+    "product": ("productId", PRODUCTS, {
+        **dict.fromkeys(PRODUCT_TEXTS, TEXT), **dict.fromkeys(PRODUCT_REALS, REAL), "minDeliveryDuration": WHOLE, "isDisabled": FLAG,
+    }),
+    "category": ("categoryId", CATEGORIES, {**STAMPS, "__typename": TEXT}),
+    "department": ("departmentId", DEPARTMENTS, EFFECT),
+    "product_department": ("productDepartmentId", LINKS.format(
+        id="productDepartmentId", one="productDepartmentDepartmentId", two="productDepartmentProductId"), {**STAMPS, "__typename": TEXT}),
+    "tagging": ("productTaggingId", TAGS, {**EFFECT, "image": TEXT, "createdBy": TEXT, "created": TEXT, "modified": TEXT}),
+    "tagging_mapping": ("productTaggingMappingId", LINKS.format(
+        id="productTaggingMappingId", one="productTaggingMappingProductId", two="productTaggingMappingProductTaggingId"), STAMPS),
+}
+# The list as a file has it: quotes, a comma, a letter of Latin-1 and a line end inside a field.
+FILE_ROWS = ROWS.replace("'about ' || p_name AS description", """'"' || p_name || '", é' || chr(10) || 'more' AS description""")
+BUCKETS = 16
+
+
+def stored_sql(name: str) -> str:
+    """A table before the load: the rows that the load looks up, every other column filled."""
+    _, known, others = STORED[name]
+    return "SELECT t.*, " + ", ".join(f'{value} AS "{column}"' for column, value in others.items()) + f" FROM ({known}) t"
+
+
+def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list, written as Latin-1 CSV files in its order and numbered as it is read."""
+    path = scratch_dir(spark, "product-list")
+    rows = derive(spark, sf_dir, FILE_ROWS.replace('"group"', "`group`"))
+    ordered = rows.repartitionByRange(6, "row_no").sortWithinPartitions("row_no").drop("row_no")
+    ordered.write.options(header=True, quote='"', escape='"', encoding="iso-8859-1").csv(path)
+    return numbered_csv(spark, path, SCHEMA)
+
+
+def _put(name: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key, _, _ = STORED[name]
+        frames = [derive(spark, sf_dir, text.replace('"', "`")) for text in list(INPUTS.values())[1:]]
+        changes = catalogue_load(_listed(spark, sf_dir), *frames, now=NOW)[name]
+        current = derive(spark, sf_dir, stored_sql(name).replace('"', "`")).select(*changes.columns)
+        path = scratch_dir(spark, name)
+        write_buckets(current, path, [key], BUCKETS)
+        put_buckets(spark, path, changes, current.schema, [key], [key], BUCKETS)
+        return read_buckets(spark, path, current.schema).drop(BUCKET)
+
+    query.__doc__ = f"The whole {name} table after a load from CSV files, its touched buckets rewritten."
+    return query
+
+
 MEMBERS = """SELECT 'a' || lpad(CAST(CAST(floor(o_orderkey / 100) AS BIGINT) AS STRING), 9, '0') AS archive,
     o_orderkey % 100 AS pos, CASE WHEN o_orderkey % 3 = 0 THEN '000007' WHEN o_custkey % 9 = 0 THEN 'xxxxxx'
     ELSE lpad(CAST(o_custkey AS STRING), 6, '0') END || '_' || CAST(o_orderkey AS STRING) || '.jpg' AS filename
@@ -181,40 +246,45 @@ QUERIES = {
     "image_registration": image_registration,
     "main_images": main_images,
 }
-ORACLES = {
-    "catalogue_products": with_inputs(PRODUCT_SQL, **INPUTS),
-    "catalogue_categories": with_inputs(
-        f"""WITH {ADDED} SELECT "categoryId", code, "parentId", title, '{STAMP}' AS "createdAt", '{STAMP}' AS "updatedAt",
+BODIES = {
+    "product": PRODUCT_SQL,
+    "category": f"""WITH {ADDED} SELECT "categoryId", code, "parentId", title, '{STAMP}' AS "createdAt", '{STAMP}' AS "updatedAt",
         'Category' AS __typename FROM added""",
-        **INPUTS,
-    ),
-    "catalogue_departments": with_inputs(
-        f"""WITH {IDENTIFIED}, {NEW_DEPARTMENTS} SELECT id AS "departmentId", title, {EFFECTIVE}, '-' AS "parentId",
+    "department": f"""WITH {IDENTIFIED}, {NEW_DEPARTMENTS} SELECT id AS "departmentId", title, {EFFECTIVE}, '-' AS "parentId",
         'Department' AS __typename FROM fresh""",
-        **INPUTS,
-    ),
-    "catalogue_product_departments": with_inputs(
-        f"""WITH {IDENTIFIED}, {NEW_DEPARTMENTS}, roots AS (SELECT title, min("departmentId") AS id FROM departments
+    "product_department": f"""WITH {IDENTIFIED}, {NEW_DEPARTMENTS}, roots AS (SELECT title, min("departmentId") AS id FROM departments
             WHERE "parentId" = '-' GROUP BY title UNION ALL SELECT title, id FROM fresh),
           pairs AS (SELECT r.id AS did, pid FROM ids JOIN roots r ON r.title = department
             WHERE sub_department IN (SELECT title FROM departments) UNION SELECT id, pid FROM fresh)
         SELECT {_id('product_department', 'pid', 'did')} AS "productDepartmentId",
           did AS "productDepartmentDepartmentId", pid AS "productDepartmentProductId", '{STAMP}' AS "createdAt",
           '{STAMP}' AS "updatedAt", 'ProductDepartment' AS __typename FROM pairs""",
-        **INPUTS,
-    ),
-    "catalogue_tags": with_inputs(
-        f"""WITH {IDENTIFIED}, {TAGGED} SELECT DISTINCT tid AS "productTaggingId", title, {EFFECTIVE}, '' AS image,
+    "tagging": f"""WITH {IDENTIFIED}, {TAGGED} SELECT DISTINCT tid AS "productTaggingId", title, {EFFECTIVE}, '' AS image,
         'robot' AS "createdBy", '{STAMP}' AS created, '{STAMP}' AS modified, 'ProductTagging' AS __typename
         FROM tagged WHERE is_new""",
-        **INPUTS,
-    ),
-    "catalogue_tag_mappings": with_inputs(
-        f"""WITH {IDENTIFIED}, {TAGGED} SELECT {_id('tag_mapping', 'pid', 'tid')} AS "productTaggingMappingId",
+    "tagging_mapping": f"""WITH {IDENTIFIED}, {TAGGED} SELECT {_id('tag_mapping', 'pid', 'tid')} AS "productTaggingMappingId",
         pid AS "productTaggingMappingProductId", tid AS "productTaggingMappingProductTaggingId", '{STAMP}' AS "createdAt",
         '{STAMP}' AS "updatedAt" FROM tagged""",
-        **INPUTS,
-    ),
+}
+TABLES = {
+    "product": "products", "category": "categories", "department": "departments", "product_department": "product_departments",
+    "tagging": "tags", "tagging_mapping": "tag_mappings",
+}
+QUERIES |= {f"catalogue_put_{TABLES[name]}": _put(name) for name in STORED}
+
+
+def _put_sql(name: str) -> str:
+    key, _, _ = STORED[name]
+    return with_inputs(
+        f"""WITH changes AS ({BODIES[name]}) SELECT * FROM changes
+        UNION ALL BY NAME SELECT * FROM held WHERE "{key}" NOT IN (SELECT "{key}" FROM changes)""",
+        **{**INPUTS, "lines": FILE_ROWS}, held=stored_sql(name),
+    )
+
+
+ORACLES = {
+    **{f"catalogue_{TABLES[name]}": with_inputs(body, **INPUTS) for name, body in BODIES.items()},
+    **{f"catalogue_put_{TABLES[name]}": _put_sql(name) for name in BODIES},
     "catalogue_upsert": with_inputs(
         f"""WITH {IDENTIFIED} SELECT "productId", name FROM products WHERE "productId" NOT IN (SELECT pid FROM ids)
         UNION ALL SELECT DISTINCT pid, item_name FROM ids""",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.slices import stored
 from .records import file_records, parsed
 
 
@@ -20,9 +21,10 @@ def latin_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 def numbered_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """As `latin_csv` with blanks as empty text and `row_no` rising with the order of the files'
-    names and of their rows."""
+    names and of their rows. Stored, as loads read the rows many times."""
     rows = parsed(file_records(spark, path, "ISO-8859-1"), ddl(schema), "row_no")
-    return rows.select("row_no", *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in schema.names])
+    filled = rows.select("row_no", *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in schema.names])
+    return stored(filled, "landed-rows")
 
 
 def csv_columns(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str]) -> DataFrame:
