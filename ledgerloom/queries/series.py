@@ -57,8 +57,7 @@ def power_by_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return power_output(power_changes(wide_bins(derive(spark, sf_dir, READINGS))))
 
 
-def power_sql(closed_only: bool) -> str:
-    closed = "HAVING bin <= (SELECT max(ts) FROM r WHERE controller <= 909) - INTERVAL 10 MINUTE" if closed_only else ""
+def power_sql() -> str:
     latest = ", ".join(
         f"coalesce(max(CASE WHEN controller = {c} THEN CAST(reading AS DOUBLE) END), 0) AS c{c}" for c in CONTROLLERS
     )
@@ -69,7 +68,7 @@ def power_sql(closed_only: bool) -> str:
     return with_inputs(
         f"""WITH latest AS (SELECT controller, {BIN} AS bin, max(ts) AS ts, arg_max(reading, ts) AS reading FROM r
           WHERE controller <= 909 GROUP BY ALL),
-        wide AS (SELECT bin, max(ts) AS polled_at, {latest} FROM latest GROUP BY bin {closed})
+        wide AS (SELECT bin, max(ts) AS polled_at, {latest} FROM latest GROUP BY bin)
         SELECT strftime(bin, '%d/%m/%Y %H:%M:00') AS "Time", {changes}, strftime(polled_at, '%Y') AS year,
         strftime(polled_at, '%m') AS month, strftime(polled_at, '%d') AS day FROM wide WINDOW w AS (ORDER BY bin)""",
         r=READINGS,
@@ -107,7 +106,7 @@ ORACLES = {
         ) + " FROM d GROUP BY day",
         d=DAILY,
     ),
-    "power_by_bin": power_sql(closed_only=False),
+    "power_by_bin": power_sql(),
     "alarm_daily": with_inputs(
         """SELECT "FunctionName", CAST(ts AS DATE) AS day, CAST(sum("Invocations") AS BIGINT) AS total FROM calls
         WHERE "FunctionName" IN (SELECT replace(replace(value, 'FunctionName: ', ''), ' ', '') FROM template

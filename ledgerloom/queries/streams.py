@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import utc_instant
 from ..plans.power import CONTROLLERS, power_output
 from ..plans.telemetry import delivery_text, flat_messages
 from ..session import scratch_dir
-from ..streaming.runs import file_stream, finish, to_table
-from ..streaming.telemetry import alarm_stream, bin_changes, carry_forward_stream, closed_bins
+from ..sinks.files import with_date_parts
+from ..streaming.closing import land_and_close, with_closings
+from ..streaming.runs import file_stream, finish, in_cycles, rocksdb_state, to_table
+from ..streaming.telemetry import alarm_stream, bin_changes, carried, closed_bins
 from .base import table, with_inputs
-from .series import BIN, CARRY_SQL, READINGS, SPARSE, power_sql
+from .series import BIN, BINS_SQL, CARRY_SQL, READINGS, SPARSE, power_sql
 
 
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,34 +40,51 @@ def _landed(spark: SparkSession, stream: DataFrame, label: str, partition_by: tu
     return f"{path}/table"
 
 
+def _closed(
+    messages: DataFrame, ts: str, made: Callable[[DataFrame], DataFrame], label: str, width: timedelta = timedelta(minutes=10),
+    partition_by: tuple = (),
+) -> str:
+    """Lands what is made of the messages, the bins that were open at their end included."""
+    path = scratch_dir(messages.sparkSession, label)
+    known = with_closings(messages, ts, f"{path}/closings")
+    land_and_close(
+        made(known), known, ts, f"{path}/closings", f"{path}/table", f"{path}/checkpoint", width, partition_by=partition_by
+    )
+    return f"{path}/table"
+
+
 def _plain_bin(df: DataFrame) -> DataFrame:
     return df.withColumn("bin", F.col("bin").cast("timestamp_ntz"))
 
 
+def _bins_again(spark: SparkSession, path: str) -> DataFrame:
+    return file_stream(spark, path, spark.read.parquet(path).schema)
+
+
 def stream_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.sum(F.col("value").cast("decimal(18,4)"))
-    bins = closed_bins(_with_time(_arriving(spark, sf_dir)), ["user_id"], "ts", {"total": total, "n": F.count("*")})
-    landed = spark.read.parquet(_landed(spark, bins, "stream-bins"))
+
+    def bins(messages: DataFrame) -> DataFrame:
+        return closed_bins(messages, ["user_id"], "ts", {"total": total, "n": F.count("*")})
+
+    landed = spark.read.parquet(_closed(_with_time(_arriving(spark, sf_dir)), "ts", bins, "stream-bins"))
     return _plain_bin(landed).withColumn("total", F.col("total").cast("double"))
 
 
 def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bins close in one stream; a second one keeps every device's last bin as state."""
+    """Bins close in one stream; a second one joins each with the bin before."""
     last = F.max_by("value", F.struct("ts", "event_id"))
-    bins = closed_bins(_with_time(_arriving(spark, sf_dir)), ["user_id"], "ts", {"value": last})
-    path = _landed(spark, bins, "stream-last")
-    changes = bin_changes(file_stream(spark, path, spark.read.parquet(path).schema), "user_id", ["value"])
-    return spark.read.parquet(_landed(spark, changes, "stream-delta"))
+    path = _closed(
+        _with_time(_arriving(spark, sf_dir)), "ts", lambda m: closed_bins(m, ["user_id"], "ts", {"value": last}), "stream-last"
+    )
+    changed = _closed(_bins_again(spark, path), "bin", lambda b: bin_changes(b, ["user_id"], ["value"]), "stream-delta")
+    return _plain_bin(spark.read.parquet(changed))
 
 
 def stream_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = _derived(spark, sf_dir, SPARSE)
-    path = scratch_dir(spark, "stream-carry")
-    out = f"{path}/out"
-    carry_forward_stream(
-        messages, "device", ["ts", "event_id"], ["value", "detail"], out, f"{path}/state", f"{path}/checkpoint"
-    )
-    return spark.read.schema(messages.schema).parquet(f"{out}/batch=*")
+    filled = carried(_derived(spark, sf_dir, SPARSE), "device", ["ts", "event_id"], ["value", "detail"])
+    with rocksdb_state(spark):
+        return spark.read.schema(filled.schema).parquet(_landed(spark, filled, "stream-carry"))
 
 
 def stream_power(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,22 +96,41 @@ def stream_power(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for c in CONTROLLERS
     }
+    polled = {**latest, "polled_at": F.max("ts").cast("timestamp_ntz")}
     readings = _with_time(_derived(spark, sf_dir, READINGS)).where(F.col("controller").isin(CONTROLLERS))
-    bins = closed_bins(readings, [], "ts", {**latest, "polled_at": F.max("ts").cast("timestamp_ntz")})
-    path = _landed(spark, bins, "power-bins")
-    wide = file_stream(spark, path, spark.read.parquet(path).schema).withColumn("site", F.lit(1))
-    changes = bin_changes(wide, "site", names, ["polled_at"]).select(
-        "bin", "polled_at", *[F.col(f"{n}_change").alias(n) for n in names]
-    )
-    output = power_output(changes)
-    landed = _landed(spark, output, "power", ("year", "month", "day"))
-    return spark.read.schema(output.schema).parquet(landed)
+    path = _closed(readings, "ts", lambda m: closed_bins(m, [], "ts", polled), "power-bins")
+
+    def output(bins: DataFrame) -> DataFrame:
+        changes = bin_changes(bins, [], names, ["polled_at"])
+        return power_output(
+            changes.select(F.col("bin").cast("timestamp_ntz").alias("bin"), "polled_at", *[F.col(f"{n}_change").alias(n) for n in names])
+        )
+
+    wide = _bins_again(spark, path)
+    landed = _closed(wide, "bin", output, "power", partition_by=("year", "month", "day"))
+    return spark.read.schema(output(wide).schema).parquet(landed)
 
 
 def stream_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = _arriving(spark, sf_dir).withColumn("ts", utc_instant("ts"))
-    alarms = alarm_stream(calls, "event_type", "ts", F.col("user_id") % 3)
-    return spark.read.parquet(_landed(spark, alarms, "stream-alarm"))
+    landed = _closed(
+        calls, "ts", lambda c: alarm_stream(c, "event_type", "ts", F.col("user_id") % 3), "stream-alarm", timedelta(days=1)
+    )
+    return spark.read.parquet(landed)
+
+
+def stream_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that come in three deliveries, one a cycle, each cycle's written by its days."""
+    path = scratch_dir(spark, "cycles")
+    for third in range(3):
+        part = table(spark, sf_dir, "events").where(F.col("event_id") % 3 == third)
+        with_date_parts(part.select("event_id", "ts", "value"), "ts").coalesce(1).write.mode("append").parquet(f"{path}/in")
+    arriving = file_stream(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema, files_per_trigger=1)
+    in_cycles(
+        arriving, f"{path}/out", f"{path}/checkpoint", "1 second", lambda cycles: len(cycles) == 3, ("year", "month", "day")
+    )
+    whole = T.StructType([*arriving.schema.fields, T.StructField("cycle", T.LongType())])
+    return spark.read.schema(whole).parquet(f"{path}/out").drop("cycle")
 
 
 BODIES = """SELECT '{{"Resources":{{"ID":"' || CAST(user_id AS STRING) || '","Created":"' ||
@@ -109,20 +151,21 @@ QUERIES = {
     "stream_carry": stream_carry,
     "stream_power": stream_power,
     "stream_alarm": stream_alarm,
+    "stream_cycles": stream_cycles,
     "stream_messages": stream_messages,
 }
-CLOSED = "<= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
 ORACLES = {
     "stream_bins": f"""SELECT user_id, {BIN} AS bin, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total,
-        COUNT(*) AS n FROM events WHERE {BIN} {CLOSED} GROUP BY ALL""",
+        COUNT(*) AS n FROM events GROUP BY ALL""",
     "stream_delta": f"""SELECT user_id, bin, value, CASE WHEN bin - lag(bin) OVER w = INTERVAL 10 MINUTE
         THEN round(value - lag(value) OVER w, 2) ELSE 0.0 END AS value_change
-        FROM (SELECT user_id, {BIN} AS bin, arg_max(value, event_id) AS value FROM events
-          WHERE {BIN} {CLOSED} GROUP BY ALL) WINDOW w AS (PARTITION BY user_id ORDER BY bin)""",
+        FROM ({BINS_SQL}) WINDOW w AS (PARTITION BY user_id ORDER BY bin)""",
     "stream_carry": with_inputs(CARRY_SQL, src=SPARSE),
-    "stream_power": power_sql(closed_only=True),
-    "stream_alarm": f"""SELECT event_type, CAST(ts AS DATE) AS day, CAST(sum(user_id % 3) AS BIGINT) AS total FROM events
-        WHERE CAST(ts AS DATE) + INTERVAL 1 DAY {CLOSED} GROUP BY ALL HAVING sum(user_id % 3) >= 10""",
+    "stream_power": power_sql(),
+    "stream_cycles": """SELECT event_id, ts, value, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+        strftime(ts, '%d') AS day FROM events""",
+    "stream_alarm": """SELECT event_type, CAST(ts AS DATE) AS day, CAST(sum(user_id % 3) AS BIGINT) AS total FROM events
+        GROUP BY ALL HAVING sum(user_id % 3) >= 10""",
     "stream_messages": f"""SELECT CAST(user_id AS VARCHAR) AS "ResourcesID", {SHIFTED} AS created,
         '&DeviceID=' || CAST(user_id AS VARCHAR) || '&DateTimestamp=' ||
         strftime(date_trunc('hour', {SHIFTED}) + to_minutes(CAST((floor(minute(ts) / 10) + 1) * 10 AS BIGINT))

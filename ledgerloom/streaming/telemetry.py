@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.dates import utc_day
-from ..operators.slices import carry_forward
-from .runs import finish, in_batches
+from .closing import CLOSING, marks_closings
 
 # Fixed value: state of a bin is kept this long after the bin's time.
 DELAY = "10 minutes"
@@ -25,87 +24,91 @@ def closed_bins(
 
     `values` are aggregates. They are combined before the shuffle, so a device that
     sends much of the data is no hot spot. Later messages of a closed bin are dropped.
+    The closing rows of `with_closings` move the watermark and are in no bin.
     """
+    marked = marks_closings(messages)
     return (
-        messages.withWatermark(ts, delay)
-        .groupBy(*keys, F.window(ts, f"{minutes} minutes").alias("w"))
-        .agg(*[agg.alias(name) for name, agg in values.items()])
+        marked.withWatermark(ts, delay)
+        .groupBy(*keys, F.window(ts, f"{minutes} minutes").alias("w"), CLOSING)
+        .agg(*[agg.alias(name) for name, agg in values.items()], no_closing())
+        .where("_message")
         .select(*keys, F.col("w.end").alias("bin"), *values)
     )
 
 
 def bin_changes(
-    bins: DataFrame, device: str, values: Sequence[str], kept: Sequence[str] = (), minutes: int = 10,
-    digits: int = 2,
+    bins: DataFrame, keys: Sequence[str], values: Sequence[str], kept: Sequence[str] = (), minutes: int = 10,
+    digits: int = 2, delay: str = DELAY,
 ) -> DataFrame:
-    """Adds `<value>_change` since the bin before, per device; 0.00 where that bin is absent.
-
-    `bins` is a stream of closed bins, one row per (device, bin). A device's bins
-    arrive in order from batch to batch, since they close in order, and are sorted
-    inside a batch. The state is the last bin with its values.
+    """Adds `<value>_change` since the bin before, per keys; 0.00 where that bin is absent.
+
+    `bins` is a stream with one row per (keys, bin), in any order. It is joined with itself, a bin
+    with the one that ends where it begins, whichever comes first; a bin without such a neighbour
+    leaves once the watermark has passed it. The state holds the bins that the watermark has not
+    passed, by key and bin, so neither a device nor a missing key gathers its history in one task.
+    A bin that comes after the watermark has passed it is dropped: read landed bins without a
+    limit of files, so that those which closed together come together.
+    Values are compared in their own type; a null value gives a null change.
     """
-    width = pd.Timedelta(minutes=minutes)
-    values, kept = list(values), list(kept)
-
-    def changes(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(parts)).sort_values("bin", ignore_index=True)
-        held = state.get if state.exists else None
-        before_bin = rows["bin"].shift(fill_value=pd.Timestamp(held[0], unit="us") if held else pd.NaT)
-        neighbour = rows["bin"] - before_bin == width
-        for i, v in enumerate(values, start=1):
-            before = rows[v].shift(fill_value=held[i] if held else float("nan"))
-            rows[f"{v}_change"] = (rows[v] - before).round(digits).where(neighbour, 0.0)
-        end = rows.iloc[-1]
-        state.update((int(end["bin"].value // 1000), *[float(end[v]) for v in values]))
-        yield rows[[device, "bin", *kept, *values, *[f"{v}_change" for v in values]]]
-
-    # Bins are zone-free here, so the worker's clock plays no part.
-    plain = bins.select(
-        device, F.col("bin").cast("timestamp_ntz").alias("bin"), *kept,
-        *[F.col(v).cast("double").alias(v) for v in values],
-    )
-    reals = [f"{v} double" for v in values]
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields]
-    return plain.groupBy(device).applyInPandasWithState(
-        changes,
-        outputStructType=", ".join([*fields, *[f"{v}_change double" for v in values]]),
-        stateStructType=", ".join(["bin long", *reals]),
-        outputMode="append",
-        timeoutConf="NoTimeout",
-    )
-
-
-def carry_forward_stream(
-    messages: DataFrame, device: str, order: Sequence[str], values: Sequence[str], out: str,
-    state: str, checkpoint: str,
-) -> None:
+    values, kept, width = list(values), list(kept), F.make_dt_interval(mins=F.lit(minutes))
+    timed = marks_closings(bins).withColumns({"_bin": F.col("bin").cast("timestamp"), "_key": F.struct(F.lit(0), *keys)})
+    own = timed.withWatermark("_bin", delay)
+    before = timed.select(
+        F.col("_key").alias("_before_key"), (F.col("_bin") + width).alias("_next"),
+        *[F.col(v).alias(f"_before_{v}") for v in values], F.lit(True).alias("_found"),
+    ).withWatermark("_next", delay)
+    joined = own.join(before, (F.col("_key") == F.col("_before_key")) & (F.col("_bin") == F.col("_next")), "left")
+    changes = {
+        f"{v}_change": F.when(F.col("_found"), F.round(F.col(v) - F.col(f"_before_{v}"), digits)).otherwise(F.lit(0.0)) for v in values
+    }
+    # Asked of both sides, so that it cannot be asked before the watermark has seen the closing rows.
+    return joined.where(F.coalesce("_found", ~F.col(CLOSING))).withColumns(changes).select(*keys, "bin", *kept, *values, *changes)
+
+
+def no_closing() -> Column:
+    """Whether a group is of messages. As an aggregate it is asked after the watermark has seen the
+    closing rows; a filter on the grouping column would move below it."""
+    return F.bool_and(~F.col(CLOSING)).alias("_message")
+
+
+class Carrier(StatefulProcessor):
+    """Fills absent values of a device from the last ones present."""
+
+    def __init__(self, columns: Sequence[str], order: Sequence[str], values: Sequence[str], state: T.StructType):
+        self.columns, self.order, self.values, self.state = list(columns), list(order), list(values), state
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", self.state)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = list(self.held.get()) if self.held.exists() else [None] * len(self.values)
+        place = {v: self.columns.index(v) for v in self.values}
+        for row in sorted(rows, key=lambda r: [(r[o] is not None, r[o]) if r[o] is not None else (False,) for o in self.order]):
+            out = list(row[c] for c in self.columns)
+            for i, v in enumerate(self.values):
+                if out[place[v]] is None:
+                    out[place[v]] = held[i]
+                held[i] = out[place[v]]
+            yield Row(**dict(zip(self.columns, out, strict=True)))
+        self.held.update(tuple(held))
+
+    def close(self) -> None:
+        pass
+
+
+def carried(messages: DataFrame, device: str, order: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Messages with absent values filled from the same device's earlier ones.
 
-    Each micro-batch is joined by the values that its predecessor ended with and run
-    through the batch operator, so a large device spans many tasks. Output and state
-    are written below the batch number: a batch that runs again replaces its own.
+    Messages are taken by `order` (nulls first) within a micro-batch, and batch after batch. The
+    state is one row of values per device; a batch writes those of its own devices only. A task
+    holds one device's rows of a micro-batch, whose size the source's rate limits. Start it with
+    `rocksdb_state`.
     """
-    spark: SparkSession = messages.sparkSession
-    columns = messages.columns
-    state_schema = messages.select(device, *values).schema
-
-    def run(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty() and number > 0:
-            spark.read.schema(state_schema).parquet(f"{state}/batch={number - 1}").write.mode(
-                "overwrite").parquet(f"{state}/batch={number}")
-            return
-        rows = batch.withColumn("_held", F.lit(False))
-        if number > 0:
-            held = spark.read.schema(state_schema).parquet(f"{state}/batch={number - 1}")
-            # A held row has no time, so it sorts before its device's messages.
-            rows = rows.unionByName(held.withColumn("_held", F.lit(True)), allowMissingColumns=True)
-        filled = carry_forward(rows, [device], list(order), values)
-        filled.where("NOT _held").select(*columns).write.mode("overwrite").parquet(f"{out}/batch={number}")
-        newest = F.struct(F.when(~F.col("_held"), F.lit(1)).otherwise(0).alias("fresh"), *order)
-        filled.groupBy(device).agg(*[F.max_by(v, newest).alias(v) for v in values]).write.mode(
-            "overwrite").parquet(f"{state}/batch={number}")
-
-    finish(in_batches(messages, run, checkpoint))
+    schema = messages.schema
+    state = T.StructType([schema[v] for v in values])
+    return messages.groupBy(device).transformWithState(
+        Carrier(messages.columns, order, values, state), outputStructType=schema, outputMode="Append", timeMode="None"
+    )
 
 
 def alarm_stream(
@@ -113,9 +116,9 @@ def alarm_stream(
 ) -> DataFrame:
     """(name, day, total) once a UTC day has closed and its total reaches the limit."""
     return (
-        calls.withWatermark(ts, delay)
-        .groupBy(name, F.window(ts, "1 day").alias("w"))
-        .agg(F.sum(amount).alias("total"))
-        .where(F.col("total") >= limit)
+        marks_closings(calls).withWatermark(ts, delay)
+        .groupBy(name, F.window(ts, "1 day").alias("w"), CLOSING)
+        .agg(F.sum(amount).alias("total"), no_closing())
+        .where(F.col("_message") & (F.col("total") >= limit))
         .select(name, utc_day("w.start").alias("day"), "total")
     )

@@ -1,14 +1,16 @@
 """Streams in several micro-batches against their batch form."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.slices import carry_forward
 from ledgerloom.session import scratch_dir
-from ledgerloom.streaming.runs import file_stream, finish, to_table
-from ledgerloom.streaming.telemetry import alarm_stream, bin_changes, carry_forward_stream, closed_bins
+from ledgerloom.streaming.closing import land_and_close, with_closings
+from ledgerloom.streaming.runs import file_stream, finish, in_cycles, rocksdb_state, to_table
+from ledgerloom.streaming.telemetry import alarm_stream, bin_changes, carried, closed_bins
 
 START = dt.datetime(2020, 1, 1, 23, 30)
 
@@ -56,32 +58,109 @@ def test_late_messages_of_a_closed_bin_are_dropped(spark, landed, run):
     ]
 
 
-def test_bin_changes_keep_state_between_batches(spark, landed, run):
+def closed(spark, messages, ts, made, width=dt.timedelta(minutes=10), path=None):
+    path = path or scratch_dir(spark, "closed")
+    known = with_closings(messages, ts, f"{path}/closings")
+    land_and_close(made(known), known, ts, f"{path}/closings", f"{path}/t", f"{path}/c", width)
+    return spark.read.schema(made(known).schema).parquet(f"{path}/t")
+
+
+def binned(messages):
+    return closed_bins(messages, ["d"], "ts", {"v": F.sum("v"), "n": F.count("*")}).withColumn("bin", F.col("bin").cast("timestamp_ntz"))
+
+
+def test_the_last_bins_are_closed_once_and_newer_ones_go_on(spark, landed):
+    schema = "d string, ts timestamp, v double"
+    path, work = landed(schema, [("a", minutes(1), 1.0), (None, minutes(2), 2.0)], [("a", minutes(45), 3.0), ("a", minutes(44), 4.0)]), scratch_dir(spark, "w")
+    stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
+    first = [("a", minutes(10), 1.0, 1), (None, minutes(10), 2.0, 1), ("a", minutes(50), 7.0, 2)]
+    for _ in range(2):
+        assert rows(closed(spark, stream, "ts", binned, path=work).select("d", "bin", "v", "n")) == sorted(first, key=repr)
+    # A message for a bin that was closed is late; a bin after it is not.
+    late = [("a", minutes(46), 9.0), ("b", minutes(71), 5.0)]
+    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(path)
+    got = rows(closed(spark, stream, "ts", binned, path=work).select("d", "bin", "v", "n"))
+    assert got == sorted([*first, ("b", minutes(80), 5.0, 1)], key=repr)
+
+
+def test_a_closing_row_is_in_no_bin_even_when_it_is_closed_itself(spark, landed):
+    path, work = landed("ts timestamp, v double", [(minutes(1), 1.0)]), scratch_dir(spark, "w")
+    stream = file_stream(spark, path, spark.read.parquet(path).schema)
+
+    def made(messages):
+        return closed_bins(messages, [], "ts", {"n": F.count("*")}).withColumn("bin", F.col("bin").cast("timestamp_ntz"))
+
+    closed(spark, stream, "ts", made, path=work)
+    spark.createDataFrame([(minutes(600), 2.0)], "ts timestamp, v double").coalesce(1).write.mode("append").parquet(path)
+    assert rows(closed(spark, stream, "ts", made, path=work)) == [(minutes(10), 1), (minutes(610), 1)]
+
+
+def test_nothing_arrived_and_nothing_is_closed(spark, landed):
+    path = landed("d string, ts timestamp, v double", [])
+    stream = file_stream(spark, path, spark.read.parquet(path).schema)
+    assert closed(spark, stream, "ts", binned).count() == 0
+
+
+def test_bin_changes_meet_their_neighbour_in_either_order(spark, landed):
     path = landed("d int, bin timestamp_ntz, value double",
-                  [(1, minutes(20), 3.5), (1, minutes(10), 1.0), (2, minutes(10), 7.0)],
+                  [(1, minutes(20), 3.5), (2, minutes(20), 7.0), (None, minutes(20), 1.0), (3, minutes(20), None)],
+                  # These come after the bin that ends ten minutes later.
+                  [(1, minutes(10), 1.0), (None, minutes(10), 0.5), (3, minutes(10), 1.0)],
                   [(1, minutes(30), 3.0), (2, minutes(40), 9.0)])
     stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
-    assert rows(run(bin_changes(stream, "d", ["value"]))) == [
-        (1, minutes(10), 1.0, 0.0), (1, minutes(20), 3.5, 2.5), (1, minutes(30), 3.0, -0.5),
-        (2, minutes(10), 7.0, 0.0), (2, minutes(40), 9.0, 0.0),
-    ]
+    got = closed(spark, stream.withColumn("bin", F.col("bin").cast("timestamp")), "bin", lambda b: bin_changes(b, ["d"], ["value"]))
+    assert rows(got.withColumn("bin", F.col("bin").cast("timestamp_ntz"))) == sorted([
+        (1, minutes(10), 1.0, 0.0), (1, minutes(20), 3.5, 2.5), (1, minutes(30), 3.0, -0.5), (None, minutes(10), 0.5, 0.0),
+        (None, minutes(20), 1.0, 0.5), (2, minutes(20), 7.0, 0.0), (2, minutes(40), 9.0, 0.0), (3, minutes(10), 1.0, 0.0),
+        (3, minutes(20), None, None),
+    ], key=repr)
 
 
-def test_carry_forward_in_batches_equals_one_pass(spark, landed):
+def test_the_join_state_is_freed_behind_the_watermark(spark, landed):
+    days = [[(d, minutes(10 * (6 * k + i)), 1.0) for d in range(5) for i in range(6)] for k in range(6)]
+    path, work = landed("d int, bin timestamp, value double", *days), scratch_dir(spark, "w")
+    stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
+    query = to_table(bin_changes(stream, ["d"], ["value"]), f"{work}/t", f"{work}/c")
+    finish(query)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    # Two sides of at most an hour and the delay for five devices, not of all six hours.
+    assert max(held) <= 2 * 5 * 9 and held[-1] <= 2 * 5 * 3
+
+
+def test_carried_in_batches_equals_one_pass(spark, landed):
     data = [
-        [("a", minutes(1), 1, 5.0), ("a", minutes(2), 2, None), ("b", minutes(3), 3, None)],
-        [("a", minutes(4), 4, None), ("b", minutes(5), 5, 6.0)],
-        [("a", minutes(6), 6, 7.0), ("b", minutes(7), 7, None), ("c", minutes(8), 8, None)],
+        [("a", minutes(1), 1, 5.0, 2**60 + 1), ("a", minutes(2), 2, None, None), ("b", minutes(3), 3, None, None)],
+        [("a", minutes(4), 4, None, None), ("b", minutes(5), 5, 6.0, 7), (None, minutes(5), 9, 1.0, None)],
+        [("a", minutes(6), 6, 7.0, None), ("b", minutes(7), 7, None, None), ("c", minutes(8), 8, None, 1), (None, minutes(9), 10, None, None)],
     ]
-    schema = "d string, ts timestamp_ntz, id int, v double"
+    schema = "d string, ts timestamp_ntz, id int, v double, w long"
     path, work = landed(schema, *data), scratch_dir(spark, "carry")
     stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
-    carry_forward_stream(stream, "d", ["ts", "id"], ["v"], f"{work}/out", f"{work}/state", f"{work}/c")
-    got = spark.read.schema(schema).parquet(f"{work}/out/batch=*")
-    assert rows(got) == rows(carry_forward(spark.read.parquet(path), ["d"], ["ts", "id"], ["v"]))
-    # A second start finds nothing new and leaves the output as it is.
-    carry_forward_stream(stream, "d", ["ts", "id"], ["v"], f"{work}/out", f"{work}/state", f"{work}/c")
-    assert spark.read.schema(schema).parquet(f"{work}/out/batch=*").count() == 8
+    want = rows(carry_forward(spark.read.parquet(path), ["d"], ["ts", "id"], ["v", "w"]))
+    with rocksdb_state(spark):
+        for again in range(2):
+            query = to_table(carried(stream, "d", ["ts", "id"], ["v", "w"]), f"{work}/t", f"{work}/c")
+            finish(query)
+            assert rows(spark.read.schema(schema).parquet(f"{work}/t")) == want
+            if not again:
+                # One row of values per device, and a batch updates those of its own devices.
+                states = [p["stateOperators"][0] for p in query.recentProgress]
+                assert states[-1]["numRowsTotal"] == 4 and [s["numRowsUpdated"] for s in states] == [2, 3, 4]
+                assert "RocksDB" in query.lastProgress.json or "rocksdb" in query.lastProgress.json
+    assert "changelog" in "".join(f for _, _, names in os.walk(f"{work}/c/state") for f in names)
+
+
+def test_cycles_write_a_file_each_and_stop_in_order(spark, landed):
+    path, work = landed("id int, day string", [(1, "x"), (2, "x")], [(3, "x"), (4, "y")]), scratch_dir(spark, "cycles")
+    stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
+    done = in_cycles(stream, f"{work}/out", f"{work}/c", "200 milliseconds", lambda c: len(c) == 2, ["day"])
+    assert [(p["batchId"], p["numInputRows"]) for p in done] == [(0, 2), (1, 2)]
+    spark.createDataFrame([(5, "y")], "id int, day string").coalesce(1).write.mode("append").parquet(path)
+    more = in_cycles(stream, f"{work}/out", f"{work}/c", "200 milliseconds", lambda c: True, ["day"])
+    assert [p["numInputRows"] for p in more] == [1]
+    files = sorted(os.path.relpath(d, f"{work}/out") for d, _, names in os.walk(f"{work}/out") for f in names if f.endswith(".parquet"))
+    assert files == ["cycle=0/day=x", "cycle=1/day=x", "cycle=1/day=y", f"cycle={more[0]['batchId']}/day=y"]
+    assert not spark.streams.active
 
 
 def test_alarms_of_closed_days(spark, landed, run):
@@ -92,3 +171,5 @@ def test_alarms_of_closed_days(spark, landed, run):
                   [("end", day + dt.timedelta(days=1, hours=1), 1)])
     stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
     assert rows(run(alarm_stream(stream, "f", "ts", F.col("n")))) == [("ten", day.date(), 10)]
+    whole = closed(spark, stream, "ts", lambda c: alarm_stream(c, "f", "ts", F.col("n")), dt.timedelta(days=1))
+    assert rows(whole) == [("ten", day.date(), 10), ("ten", day.date() + dt.timedelta(days=1), 50)]
