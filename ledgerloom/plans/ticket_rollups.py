@@ -10,6 +10,7 @@ from ..functions.dates import date_of_text, mixed_layout_date
 from ..functions.labels import show_hour_label, showtime_band
 from ..operators.lookups import drop_matches
 from ..operators.measures import net_box_office
+from ..operators.projection import with_headings
 
 DAY_KEYS = ["movie_date", "location_id", "film_id", "hall_id", "hall_type"]
 SHOW_KEYS = ["movie_date", "film_id", "location_id", "showtime", "showtime_grp", "hall_no", "hall_type"]
@@ -146,3 +147,12 @@ def rollup_show_once(shown: DataFrame, strict_bands: bool = False) -> DataFrame:
 def with_show_hour(grain: DataFrame) -> DataFrame:
     """Adds the hour label of the show time."""
     return grain.withColumn("hourly_sales", show_hour_label("show_time"))
+
+
+def published(grain: DataFrame) -> dict[str, DataFrame]:
+    """The three tables under their published names and headings, all made of the one grain."""
+    return {
+        "new_tic_tbl_byday": with_headings(rollup_day(grain), DAY_HEADINGS),
+        "new_tic_tbl_hourly": with_headings(rollup_day_hour(grain), HOURLY_HEADINGS),
+        "new_showtime_hourly": with_headings(rollup_show(grain), SHOW_HEADINGS),
+    }

@@ -90,7 +90,17 @@ def flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flatten_unknown_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same texts without a schema, as paths and values."""
     parsed = derive(spark, sf_dir, NESTED).select("event_id", F.parse_json("body").alias("m"))
-    return flatten_variant(parsed, ["event_id"], "m", 4)
+    return flatten_variant(parsed, ["event_id"], "m")
+
+
+# Up to eleven objects inside one another, beside a leaf at each level.
+DEEP = """SELECT event_id, repeat('{{"in":', CAST(event_id % 12 AS INT)) || '{{"at":' || CAST(event_id AS STRING) || '}}'
+    || repeat(',"by":"' || event_type || '"}}', CAST(event_id % 12 AS INT)) AS body FROM {events}"""
+
+
+def flatten_deep_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = derive(spark, sf_dir, DEEP).select("event_id", F.parse_json("body").alias("m"))
+    return flatten_variant(parsed, ["event_id"], "m")
 
 
 PRICES = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS price,
@@ -250,6 +260,7 @@ QUERIES = {
     "param_string": param_string,
     "flatten_json": flatten_json,
     "flatten_unknown_json": flatten_unknown_json,
+    "flatten_deep_json": flatten_deep_json,
     "discounted_price": discounted_price,
     "null_or_empty": null_or_empty,
     "platform_source": platform_source,
@@ -288,6 +299,9 @@ ORACLES = {
         UNION ALL SELECT event_id, 'ResourcesDataenergyvalue', json_extract_string(props, '$.k') FROM events
         UNION ALL SELECT event_id, 'ResourcesDatalist', '[1,' || CAST(event_id AS VARCHAR) || ']' FROM events
         UNION ALL SELECT event_id, 'ResourcesTopic', event_type FROM events""",
+    "flatten_deep_json": """SELECT event_id, repeat('in', CAST(event_id % 12 AS INT)) || 'at' AS path, CAST(event_id AS VARCHAR) AS value
+        FROM events UNION ALL SELECT event_id, repeat('in', CAST(n AS INT)) || 'by', event_type
+        FROM (SELECT *, unnest(range(event_id % 12)) AS n FROM events)""",
     "discounted_price": with_inputs(
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, discount,
         price * 100 / nullif(discount, 0) AS discounted_price FROM (SELECT *,

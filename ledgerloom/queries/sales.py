@@ -108,7 +108,7 @@ def sales_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         same_day_flag("joined", "left_at").alias("optout24"),
         free.alias("free_pixels"),
         paid.alias("paid_pixels"),
-        (row_count(rows.where("price = 0")).scalar() > 0).cast("int").alias("any_free"),
+        (row_count(rows.where("price = 0").limit(1)).scalar() > 0).cast("int").alias("any_free"),
     )
 
 

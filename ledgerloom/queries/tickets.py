@@ -234,6 +234,14 @@ def rollup_show(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.rollup_show(grain(spark, sf_dir))
 
 
+def _published(name: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return decimals_to_double(rollups.published(grain(spark, sf_dir))[name])
+
+    query.__doc__ = f"The table {name} with its published headings."
+    return query
+
+
 def rollup_show_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.rollup_show_once(shown(spark, sf_dir))
 
@@ -269,7 +277,11 @@ QUERIES = {
     "rollup_show": rollup_show,
     "rollup_show_once": rollup_show_once,
     "rollup_grouping_sets": rollup_grouping_sets,
+    "new_tic_tbl_byday": _published("new_tic_tbl_byday"),
+    "new_tic_tbl_hourly": _published("new_tic_tbl_hourly"),
+    "new_showtime_hourly": _published("new_showtime_hourly"),
 }
+PUBLISHED = """movie_date AS "movie date", location_id AS "location id", film_id AS tic_film_id, hall_id AS tic_hall_id, hall_type"""
 ORACLES = {
     "ticket_sales_view": with_inputs(TICKET_SALES_SQL, **VIEW_INPUTS),
     "ticket_measures": with_inputs(
@@ -321,6 +333,21 @@ ORACLES = {
         FROM shown GROUP BY ALL""",
         **ROLLUP_INPUTS,
     ),
+    "new_tic_tbl_byday": with_inputs(
+        SHOWN_SQL + f"""SELECT {PUBLISHED}, CAST(SUM(net) AS DOUBLE) AS "NBO", COUNT(*) AS admission FROM shown GROUP BY ALL""",
+        **ROLLUP_INPUTS,
+    ),
+    "new_tic_tbl_hourly": with_inputs(
+        SHOWN_SQL + f"""SELECT {PUBLISHED}, show_time AS tic_show_time, CAST(SUM(net) AS DOUBLE) AS "NBO", COUNT(*) AS admission
+        FROM shown GROUP BY ALL""",
+        **ROLLUP_INPUTS,
+    ),
+    "new_showtime_hourly": with_inputs(
+        SHOWN_SQL + f"""SELECT movie_date AS "movie date", film_id AS "movie id", location_id AS "location id", show_time AS showtime,
+        {BAND} AS showtime_grp, hall_no, hall_type, CAST(SUM(totalseats) AS BIGINT) AS "total seats",
+        COUNT(show_id) AS "no of show" FROM shown GROUP BY ALL""",
+        **ROLLUP_INPUTS,
+    ),
     "rollup_show_once": with_inputs(
         SHOWN_SQL + f"""SELECT movie_date, film_id, location_id, show_time AS showtime, {BAND} AS showtime_grp, hall_no,
         hall_type, CAST(SUM(totalseats) AS BIGINT) AS total_seats, COUNT(show_id) AS number_of_shows

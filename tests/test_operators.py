@@ -141,10 +141,16 @@ def test_flatten_keeps_lists(spark):
     assert got.columns == ["abc", "ad", "e"] and got.first()["ad"] == [1, 2]
 
 
-def test_flatten_variant_stops_at_its_depth(spark):
-    df = spark.sql("""SELECT 1 AS id, parse_json('{"a": {"b": {"c": 1}}, "l": [1], "n": null}') AS v""")
-    got = {r["path"]: r["value"] for r in projection.flatten_variant(df, ["id"], "v", 2).collect()}
-    assert got == {"ab": '{"c":1}', "l": "[1]", "n": None}
+def test_flatten_variant_opens_whatever_depth(spark):
+    deep = "".join(f'{{"k{i % 3}": ' for i in range(25)) + "7" + "}" * 25
+    df = spark.createDataFrame([
+        (1, '{"a": {"b": {"c": 1}}, "l": [1, {"x": 2}], "n": null, "e": {}}'), (2, deep), (3, "5"), (4, "[1,2]"), (5, None),
+    ], "id int, body string").select("id", F.parse_json("body").alias("v"))
+    got = sorted((r["id"], r["path"], r["value"]) for r in projection.flatten_variant(df, ["id"], "v").collect() if r["id"] < 5)
+    assert got == sorted([
+        (1, "abc", "1"), (1, "l", '[1,{"x":2}]'), (1, "n", None), (2, "".join(f"k{i % 3}" for i in range(25)), "7"), (3, "", "5"), (4, "", "[1,2]"),
+    ], key=str)
+    assert projection.flatten_variant(df.limit(0), ["id"], "v").count() == 0
 
 
 def test_change_is_zero_across_a_gap(spark):
