@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import bin_end
@@ -26,18 +28,23 @@ def change_since_previous_bin(
 ) -> DataFrame:
     """Adds `<value>_change`: the difference to the bin just before, 0.00 if there is none.
 
-    `bins` holds one row per (key, bin), so a group is bounded by the number of
-    bins in the time span, not by the number of readings.
+    `bins` holds one row per (key, bin). Each is joined with the one before it, so the rows are
+    spread by key and bin: neither a device with many bins nor a frame without keys is gathered
+    in one task.
     """
-    w = Window.partitionBy(*keys).orderBy("bin")
-    neighbour = F.col("bin") - F.make_dt_interval(mins=F.lit(minutes)) == F.lag("bin").over(w)
-    return bins.withColumns(
-        {
-            f"{v}_change": F.when(neighbour, F.round(F.col(v) - F.lag(v).over(w), digits)).otherwise(
-                F.lit(0.0)
-            )
+    before = bins.select(
+        *[F.col(k).alias(f"_{k}") for k in keys],
+        (F.col("bin") + F.make_dt_interval(mins=F.lit(minutes))).alias("_bin"),
+        *[F.col(v).alias(f"_before_{v}") for v in values],
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    joined = bins.join(before, reduce(and_, same, F.col("bin") == F.col("_bin")), "left")
+    return joined.select(
+        *bins.columns,
+        *[
+            F.when(F.col("_bin").isNotNull(), F.round(F.col(v) - F.col(f"_before_{v}"), digits)).otherwise(F.lit(0.0)).alias(f"{v}_change")
             for v in values
-        }
+        ],
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
@@ -74,3 +75,40 @@ def month_chunks(bounds: DataFrame, start: str, end: str, today: str) -> DataFra
 
 def web_report(pages: DataFrame, cost: bool = False, page_size: int = 10_000) -> DataFrame:
     return report_rows(pages, COST_COLUMNS if cost else VISIT_COLUMNS, page_size)
+
+
+def report_range(start: str | None, end: str | None, today: str) -> str:
+    """The days that a report's file name states: the given ones, else yesterday."""
+    if start and end:
+        return f"{start}_{end}"
+    return str(date.fromisoformat(today) - timedelta(days=1))
+
+
+def next_report_range(start: str, today: str) -> tuple[date, date]:
+    """Start and end of the run after one that began on `start`: one and two months on, neither
+    later than the day before yesterday."""
+    latest = date.fromisoformat(today) - timedelta(days=2)
+    first = date.fromisoformat(start)
+
+    def months_on(months: int) -> date:
+        ahead = first.month - 1 + months
+        year, month = first.year + ahead // 12, ahead % 12 + 1
+        last_day = (date(year + month // 12, month % 12 + 1, 1) - timedelta(days=1)).day
+        return min(date(year, month, min(first.day, last_day)), latest)
+
+    return months_on(1), months_on(2)
+
+
+def export_report(
+    pages: DataFrame, folder: str, today: str, start: str | None = None, end: str | None = None, cost: bool = False,
+    page_size: int = 10_000,
+) -> str | None:
+    """A report as CSV in its own order and under its own headings, in a folder that states the
+    days covered. Returns the folder; None, and nothing is written, where the report has no rows."""
+    rows = web_report(pages, cost, page_size)
+    if rows.isEmpty():
+        return None
+    name = "ga-cost-data" if cost else "ga-data"
+    path = f"{folder}/{name}({report_range(start, end, today)}){uuid.uuid4()}.csv"
+    csv_with_header(rows.orderBy("position").drop("position"), path)
+    return path

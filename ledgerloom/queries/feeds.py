@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import covered_range_end, next_range_start
+from ..operators.sets import append_all
+from ..plans.feeds import export_report
 from ..plans.feeds import month_chunks as chunks_of
 from ..plans.feeds import updated_in_range, web_report as web_report_of
 from ..plans.increments import catch_up, land_next
@@ -73,6 +75,30 @@ def web_cost_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web_report_of(_report_pages(spark, sf_dir, cells), cost=True, page_size=100)
 
 
+def web_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both reports written under their range names and read back: the visits of a month, and
+    yesterday's costs, whose rows are the whole table here."""
+    folder = scratch_dir(spark, "reports")
+    visits = {"ga:sessions": "id", "ga:date": "day", "ga:userType": "event_type", "ga:users": "user_id"}
+    costs = {"ga:transactionId": "id", "ga:date": "day", "ga:transactionRevenue": "revenue"}
+    written = [
+        export_report(_report_pages(spark, sf_dir, visits), folder, "2024-03-01", "2024-01-01", "2024-02-01", page_size=100),
+        export_report(_report_pages(spark, sf_dir, costs), folder, "2024-03-01", cost=True, page_size=100),
+    ]
+    read = [spark.read.option("header", True).csv(path) for path in written]
+    named = [
+        (read[0], ["ga:sessions", "ga:date", "ga:userType", "ga:browser"]),
+        (read[1], ["ga:transactionId", "ga:date", "ga:transactionRevenue"]),
+    ]
+    return append_all([
+        df.select(
+            F.lit(path.rsplit("/", 1)[1].split(")")[0]).alias("file"), F.col(f"`{columns[0]}`").alias("id"), F.col(f"`{columns[1]}`").alias("day"),
+            F.col(f"`{columns[2]}`").alias("text"),
+        )
+        for (df, columns), path in zip(named, written, strict=True)
+    ])
+
+
 RESPONSES = """SELECT event_id, '<soap:Envelope xmlns:soap="urn:x"><soap:Body><GetSlaveResponse><GetSlaveResult><Items>'
     || '<Item><Name>Voltage</Name><Value>1</Value><Units>V</Units></Item>'
     || CASE WHEN event_type = 'error' THEN '' ELSE '<Item><Name>Total system power</Name><Value>'
@@ -160,6 +186,7 @@ QUERIES = {
     "json_pages": json_pages,
     "web_report": web_report,
     "web_cost_report": web_cost_report,
+    "web_report_files": web_report_files,
     "xml_readings": xml_readings,
     "xml_items": xml_items,
     "object_events": object_events,
@@ -177,6 +204,10 @@ ORACLES = {
         CAST(NULL AS VARCHAR) AS "ga:browser" FROM events""",
     "web_cost_report": """SELECT event_id AS position, CAST(event_id AS VARCHAR) AS "ga:transactionId",
         substr(CAST(ts AS VARCHAR), 1, 10) AS "ga:date", CAST(value AS VARCHAR) AS "ga:transactionRevenue" FROM events""",
+    "web_report_files": """SELECT 'ga-data(2024-01-01_2024-02-01' AS file, CAST(event_id AS VARCHAR) AS id,
+        substr(CAST(ts AS VARCHAR), 1, 10) AS day, event_type AS text FROM events
+        UNION ALL SELECT 'ga-cost-data(2024-02-29', CAST(event_id AS VARCHAR), substr(CAST(ts AS VARCHAR), 1, 10), CAST(value AS VARCHAR)
+        FROM events""",
     "xml_readings": """SELECT event_id, CASE WHEN event_type = 'error' OR event_id % 11 = 0 OR event_id % 7 = 0 THEN '0.00'
         ELSE CAST(value AS VARCHAR) END AS reading FROM events""",
     "xml_items": """SELECT 'Voltage' AS "Name", 'V' AS "Units", COUNT(*) AS n FROM events

@@ -5,10 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.feeds import updated_in_range
+from ledgerloom.plans.feeds import export_report, next_report_range, report_range, updated_in_range
 from ledgerloom.plans.increments import catch_up, land_next, next_load
 from ledgerloom.session import scratch_dir
 from ledgerloom.sinks.ledger import Ledger, Load
+from ledgerloom.sources.feeds import REPORT_PAGE
 
 
 @pytest.fixture
@@ -98,3 +99,19 @@ def test_the_range_reaches_the_scan(spark, place, feed):
     feed.write.parquet(path)
     plan = updated_in_range(spark.read.parquet(path), "2024-01-05", "2024-03-20")._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(updated_at,2024" in plan.split("PushedFilters")[1]
+
+
+def test_report_names_and_the_next_range():
+    assert report_range("2024-01-01", "2024-02-01", "2024-03-01") == "2024-01-01_2024-02-01"
+    assert report_range(None, "", "2024-03-01") == "2024-02-29"
+    assert [str(d) for d in next_report_range("2023-11-30", "2024-06-01")] == ["2023-12-30", "2024-01-30"]
+    assert [str(d) for d in next_report_range("2023-12-31", "2024-06-01")] == ["2024-01-31", "2024-02-29"]
+    # Neither is later than the day before yesterday.
+    assert [str(d) for d in next_report_range("2024-01-10", "2024-02-25")] == ["2024-02-10", "2024-02-23"]
+    assert [str(d) for d in next_report_range("2024-02-10", "2024-02-25")] == ["2024-02-23", "2024-02-23"]
+
+
+def test_a_report_without_rows_is_not_written(spark):
+    folder = scratch_dir(spark, "reports")
+    pages = spark.createDataFrame([(0, [("ga:date",)], None), (1, [("ga:date",)], [])], REPORT_PAGE)
+    assert export_report(pages, folder, "2024-03-01") is None
