@@ -2,17 +2,21 @@
 
 A window partitioned by a key puts the whole key into one task. Here the rows are
 range-partitioned by (key, order) in place of that, so a large group spans many
-slices. Work inside a slice is an ordinary window over (slice, key). What a slice
+slices. Work inside a slice is done where the sort leaves the rows. What a slice
 needs from the ones before it fits into one row, because in sorted data only the
 first key of a slice can have begun earlier.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_dir
 
@@ -27,10 +31,65 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Adds `_slice`, `_row` (rising with the order inside a slice) and `_key`.
-
-    The result is stored, as range bounds are sampled: a second run could draw
+def _starts(batch: pa.RecordBatch, keys: Sequence[str], before: tuple | None) -> np.ndarray:
+    """Whether each row's key differs from the row's before it; nulls are equal, as are NaNs."""
+    out = np.zeros(len(batch), bool)
+    for name in keys:
+        column = batch.column(name)
+        if pa.types.is_nested(column.type) or pa.types.is_floating(column.type):
+            values = column.to_pylist()
+            differ = np.array([repr(x) != repr(y) for x, y in zip(values[1:], values[:-1], strict=True)], bool)
+        else:
+            one_null = pc.not_equal(pc.is_null(column[1:]), pc.is_null(column[:-1]))
+            differ = pc.fill_null(pc.not_equal(column[1:], column[:-1]), False).to_numpy(zero_copy_only=False)
+            differ = differ | one_null.to_numpy(zero_copy_only=False)
+        out[1:] |= differ
+    out[0] = before is None or repr(before) != repr(_key_at(batch, keys, 0))
+    return out
+
+
+def _key_at(batch: pa.RecordBatch, keys: Sequence[str], i: int) -> tuple:
+    return tuple(batch.column(name)[i].as_py() for name in keys)
+
+
+def _in_slice(keys: Sequence[str], fills: Sequence[str]):
+    """Adds to sorted rows their place in their key and the last present value of `fills` in it,
+    both counted from where the key begins in the slice."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, count, held = None, 0, {}
+        for batch in batches:
+            if not len(batch):
+                continue
+            index = np.arange(len(batch))
+            begins = _starts(batch, keys, before)
+            # Rows before the first start go on from the batch before, as from place -1.
+            start = np.maximum.accumulate(np.where(begins, index, -1))
+            places = np.where(start < 0, count + index + 1, index - start + 1)
+            filled = []
+            for name in fills:
+                column = batch.column(name)
+                first = held.get(name, pa.nulls(1, column.type))
+                last = np.maximum.accumulate(np.where(pc.is_valid(column).to_numpy(zero_copy_only=False), index, -1))
+                known = last >= np.maximum(start, 0)
+                # Position 0 is what the batch before ended with, 1 stands for none.
+                both = pa.concat_arrays([first, pa.nulls(1, column.type), column])
+                filled.append(both.take(pa.array(np.where(known, last + 2, np.where(start < 0, 0, 1)))))
+                held[name] = pa.concat_arrays([filled[-1].slice(len(batch) - 1, 1)])
+            before, count = _key_at(batch, keys, len(batch) - 1), int(places[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(places), *filled], [*batch.schema.names, "_here", *[f"_here_{v}" for v in fills]]
+            )
+
+    return run
+
+
+def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], fills: Sequence[str] = ()) -> DataFrame:
+    """Adds `_slice`, `_row` (rising with the order inside a slice) and `_key`; with keys also
+    `_here`, a row's place among its key's rows in the slice, and `_here_<v>` for `fills`.
+
+    These are counted where the sort leaves the rows, batch by batch, so there is no second
+    shuffle. The result is stored, as range bounds are sampled: a second run could draw
     other bounds, and the passes over the slices must agree.
     """
     laid_out = (
@@ -38,7 +97,11 @@ def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
         .sortWithinPartitions(*keys, *order)
         .withColumns({"_slice": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
     )
-    return stored(laid_out, "slices").withColumn("_key", F.struct(*keys) if keys else F.lit(0))
+    if not keys:
+        return stored(laid_out, "slices").withColumn("_key", F.lit(0))
+    added = [T.StructField("_here", T.LongType()), *(T.StructField(f"_here_{v}", df.schema[v].dataType) for v in fills)]
+    marked = laid_out.mapInArrow(_in_slice(list(keys), list(fills)), T.StructType([*laid_out.schema.fields, *added]))
+    return stored(marked, "slices").withColumn("_key", F.struct(*keys))
 
 
 def _carried_into(rows: DataFrame, tail: dict, combine: dict) -> DataFrame:
@@ -106,9 +169,8 @@ def running_position(
     carried = _carried_into(
         rows, {"_count": F.count("*")}, {"_before": F.sum("_count")}
     )
-    here = F.row_number().over(Window.partitionBy("_slice", "_key").orderBy("_row"))
     return (
-        _with_carried(rows.withColumn("_here", here), carried)
+        _with_carried(rows, carried)
         .withColumn(name, F.col("_here") + F.coalesce("_before", F.lit(0)))
         .drop("_here", "_before", *_HELPERS)
     )
@@ -118,16 +180,12 @@ def carry_forward(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
     """A missing value takes the last one present before it in its group."""
-    rows = sliced(df, keys, order)
+    rows = sliced(df, keys, order, values)
     tail = {f"_tail_{v}": F.max_by(v, F.when(F.col(v).isNotNull(), F.col("_row"))) for v in values}
     combine = {f"_in_{v}": F.last(f"_tail_{v}", ignorenulls=True) for v in values}
     carried = _carried_into(rows, tail, combine)
-    here = (
-        Window.partitionBy("_slice", "_key").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    held = rows.withColumns({f"_here_{v}": F.last(v, ignorenulls=True).over(here) for v in values})
     return (
-        _with_carried(held, carried)
+        _with_carried(rows, carried)
         .withColumns({v: F.coalesce(f"_here_{v}", f"_in_{v}") for v in values})
-        .drop(*_HELPERS, *[f"_here_{v}" for v in values], *[f"_in_{v}" for v in values])
+        .drop(*_HELPERS, "_here", *[f"_here_{v}" for v in values], *[f"_in_{v}" for v in values])
     )

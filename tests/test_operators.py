@@ -175,3 +175,20 @@ def test_alarm_limit_is_inclusive(spark):
         FROM VALUES ('nine', 9), ('ten', 4), ('ten', 6), ('more', 11) AS t(f, n)"""
     )
     assert sorted(r["f"] for r in measures.daily_alarms(calls, "f", "ts", "n").collect()) == ["more", "ten"]
+
+
+def test_places_and_fills_over_batches_and_odd_keys(spark):
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for key in ("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 4 END", "CASE WHEN id % 2 = 0 THEN double('NaN') ELSE id % 3 END",
+                    "named_struct('a', id % 3)", "string(id % 5)", "date_add(date'2020-01-01', int(id % 2))"):
+            df = spark.range(200).selectExpr(
+                f"{key} AS k", "id AS o", "CASE WHEN id % 6 = 5 THEN array(id) END AS v", "CASE WHEN id % 11 = 3 THEN string(id) END AS w")
+            w = Window.partitionBy("k").orderBy("o")
+            want = df.withColumn("position", F.row_number().over(w).cast("long"))
+            assert repr(rows(slices.running_position(df, ["k"], ["o"]))) == repr(rows(want))
+            want = df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in ("v", "w")})
+            assert repr(rows(slices.carry_forward(df, ["k"], ["o"], ["v", "w"]))) == repr(rows(want))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)

@@ -71,3 +71,7 @@ def test_bucketed_films_join_without_a_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_changes_of_one_site_are_not_gathered_in_one_task(spark):
+    assert "SinglePartition" not in plan(spark, "power_by_bin")
