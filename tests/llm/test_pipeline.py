@@ -6,7 +6,7 @@ from ledgerloom.llm import queries
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages(spark, documents, texts, tmp_path):
