@@ -9,17 +9,22 @@ first key of a slice can have begun earlier.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_dir
 
+# The functions that tasks run are shipped by value: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _HELPERS = ("_slice", "_row", "_key")
 
 

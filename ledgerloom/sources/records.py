@@ -10,16 +10,21 @@ number. Only records of several lines are shuffled.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.slices import stored
 
+# The functions that tasks run are shipped by value: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # What a line is in either case: the number of records begun in the block up to it, whether it
 # begins one, and whether it is inside quotes when it ends.
 CASES = "begun0 long, starts0 boolean, ends0 boolean, begun1 long, starts1 boolean, ends1 boolean"

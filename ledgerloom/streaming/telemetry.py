@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..functions.dates import utc_day
 from .closing import CLOSING, marks_closings
 
+# The functions that tasks run are shipped by value: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: state of a bin is kept this long after the bin's time.
 DELAY = "10 minutes"
 
