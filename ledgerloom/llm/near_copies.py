@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +15,8 @@ from .common import components, stored, texts_of
 
 SKETCH = "doc_id long, n_shingles long, high long, low long, bits array<long>, bands array<long>"
 MASK = 0x1111111111111111
+# What one side of a comparison in a task holds at most, unless it is a single text.
+CHUNK_ROWS, CHUNK_SHINGLES = 512, 2_000_000
 
 
 class WordCodes(dict):
@@ -100,6 +105,14 @@ def _sketch(words: int, size: int, bands: int, rows: int):
     return run
 
 
+def similar(first: np.ndarray, second: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share at least `percent` of their union."""
+    if 100 * min(len(first), len(second)) < percent * max(len(first), len(second)):
+        return False
+    both = len(np.intersect1d(first, second, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(first) + len(second) - both)
+
+
 def _confirm(words: int, percent: int):
     """Keeps pairs whose full sets are similar. Rows of one `a` follow each other."""
 
@@ -112,8 +125,7 @@ def _confirm(words: int, percent: int):
                 if first != text_a:
                     text_a, set_a = first, shingle(first)
                 set_b = shingle(second)
-                both = len(np.intersect1d(set_a, set_b, assume_unique=True))
-                keep[i] = both > 0 and 100 * both >= percent * (len(set_a) + len(set_b) - both)
+                keep[i] = similar(set_a, set_b, percent)
             yield frame.loc[keep, ["a", "b"]]
 
     return run
@@ -130,9 +142,108 @@ def differing(left: str, right: str, longs: int) -> Column:
     return total
 
 
-def first_shared(left: str, right: str, bands: int) -> Column:
-    """The first band in which two sketches agree."""
-    return F.coalesce(*[F.when(F.col(left)[i] == F.col(right)[i], F.lit(i)) for i in range(bands)])
+def _by_group(batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each (band, key, i, j) in turn, lists as matrices; the rows are sorted."""
+    held: list[dict[str, np.ndarray]] = []
+
+    def joined() -> dict[str, np.ndarray]:
+        return held[0] if len(held) == 1 else {name: np.concatenate([part[name] for part in held]) for name in held[0]}
+
+    before = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = {}
+        for name, column in zip(batch.schema.names, batch.columns, strict=True):
+            if pa.types.is_list(column.type):
+                columns[name] = column.flatten().to_numpy().reshape(len(batch), -1)
+            else:
+                columns[name] = column.to_numpy(zero_copy_only=False)
+        columns["row"] = np.arange(len(batch))
+        keys = np.column_stack([columns[name] for name in ("band", "key", "i", "j")])
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+        for start, end in zip(cuts, cuts[1:]):
+            if held and tuple(keys[start]) != before:
+                yield joined()
+                held = []
+            before = tuple(keys[start])
+            held.append({name: values[start:end] for name, values in columns.items()})
+    if held:
+        yield joined()
+
+
+def _pairs(group: dict[str, np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the two rows, and their differing minima, for each pair of a left and a right row
+    from two components that is within `most` and shares no earlier band."""
+    left, right = np.flatnonzero(group["left"]), np.flatnonzero(~group["left"])
+    rep, component, band = group["rep"], group["component"], group["band"][0]
+    main = component[right] == group["main"][right]
+    out = [(np.empty(0, np.int64),) * 3]
+    for at in range(0, len(left), 32):
+        some = left[at : at + 32]
+        tried = (component[some][:, None] != component[right]) & (main | (rep[some][:, None] < rep[right]))
+        x, y = np.nonzero(tried)
+        x, y = some[x], right[y]
+        bits = group["bits"][x] ^ group["bits"][y]
+        bits |= (bits >> 2) & np.int64(0x3333333333333333)
+        bits |= (bits >> 1) & np.int64(0x5555555555555555)
+        off = np.bitwise_count(bits & np.int64(MASK)).sum(axis=1, dtype=np.int64)
+        near = off <= most
+        x, y, off = x[near], y[near], off[near]
+        first = (group["bands"][x] == group["bands"][y]).argmax(axis=1) == band
+        out.append((x[first], y[first], off[first]))
+    return tuple(np.concatenate(parts) for parts in zip(*out))
+
+
+def _close(most: int):
+    """Keeps the rows that are in a pair."""
+
+    def run(batches):
+        for group in _by_group(batches):
+            x, y, _ = _pairs(group, most)
+            at = np.union1d(x, y)
+            if len(at):
+                yield pa.RecordBatch.from_pydict({
+                    name: pa.array(list(values[at])) if values.ndim == 2 else pa.array(values[at])
+                    for name, values in group.items() if name != "row"
+                })
+
+    return run
+
+
+def _forest(words: int, percent: int, most: int):
+    """Links that join the components of a group's rows; pairs of the best estimate come first."""
+
+    def run(batches):
+        shingle = Shingler(words)
+        for group in _by_group(batches):
+            x, y, off = _pairs(group, most)
+            root: dict[int, int] = {}
+
+            def top(c: int) -> int:
+                while (up := root.get(c, c)) != c:
+                    root[c] = root.get(up, up)
+                    c = up
+                return c
+
+            sets: dict[int, np.ndarray] = {}
+            links = []
+            component, rep, text = group["component"].tolist(), group["rep"].tolist(), group["text"]
+            for place in np.argsort(off, kind="stable").tolist():
+                a, b = int(x[place]), int(y[place])
+                low, high = sorted((top(component[a]), top(component[b])))
+                if low == high:
+                    continue
+                for row in (a, b):
+                    if rep[row] not in sets:
+                        sets[rep[row]] = shingle(text[row])
+                if similar(sets[rep[a]], sets[rep[b]], percent):
+                    root[high] = low
+                    links.append((rep[a], rep[b]))
+            if links:
+                yield pa.RecordBatch.from_pydict({name: pa.array(ids, pa.int64()) for name, ids in zip("ab", zip(*links))})
+
+    return run
 
 
 def near_copies(
@@ -153,8 +264,11 @@ def near_copies(
        `margin` of the limit, 5.7 standard deviations, are confirmed on full sets: all of the
        fine buckets, and each member's best of the others.
     3. Buckets that still hold several components compare the members outside their leader's
-       component with all others, a pair in its first shared bucket only, and confirm in the
-       same way. No pair inside a component is made.
+       component with all others: chunks of the one side meet chunks of the other in a task,
+       where a pair inside a component is skipped, the best estimates are confirmed first, and
+       each link joins its components, so that a task gives fewer links than it has members. A
+       pair counts in its first shared bucket only. Rows that no estimate brings near another
+       leave before the texts come; the rows of a bucket grow with the chunks it has.
 
     Null or empty text, or no words: no shingles, a component of its own. Null id: left out.
     Rows that repeat an id stand for one document that holds all their sets. No documents: no
@@ -167,7 +281,7 @@ def near_copies(
     sketch = stored(docs.mapInPandas(_sketch(words, size, bands, rows), SKETCH), "sketch")
     classes = sketch.where("n_shingles > 0").groupBy("high", "low").agg(F.min("doc_id").alias("rep"))
     reps = stored(
-        sketch.withColumnRenamed("doc_id", "rep").join(classes, ["high", "low", "rep"], "left_semi").select("rep", "bits", "bands"),
+        sketch.withColumnRenamed("doc_id", "rep").join(classes, ["high", "low", "rep"], "left_semi").select("rep", "n_shingles", "bits", "bands"),
         "representatives",
     )
 
@@ -206,26 +320,28 @@ def near_copies(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.min(F.when(F.col("rep") == F.col("leader"), F.col("component"))).alias("main"),
     ).where("low <> high").select("band", "key", "main")
-    open_rows = named.join(mixed, ["band", "key"]).join(bits, "rep")
-    left = open_rows.where("component <> main").select(
-        "band", "key", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("bits").alias("bits_x"), F.col("bands").alias("bands_x")
-    )
-    right = open_rows.select(
-        F.col("band").alias("band_y"), F.col("key").alias("key_y"), "main", F.col("rep").alias("y"), F.col("component").alias("cy"),
-        F.col("bits").alias("bits_y"), F.col("bands").alias("bands_y")
-    )
-    crossing = (
-        left.join(
-            right, (F.col("band") == F.col("band_y")) & (F.col("key") == F.col("key_y")) & (F.col("cx") != F.col("cy"))
-            & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
-            & (differing("bits_x", "bits_y", longs) <= most) & (first_shared("bands_x", "bands_y", bands) == F.col("band")),
-        )
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    found = components(links.union(confirmed(stored(crossing, "crossing"))))
+    members = named.join(mixed, ["band", "key"]).join(bits, "rep").withColumn("apart", F.expr("component <> main"))
 
-    resolved = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+    def chunks(rows: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(rows / CHUNK_ROWS), F.ceil(shingles / CHUNK_SHINGLES), F.lit(1))
+
+    sizes = members.groupBy("band", "key").agg(
+        chunks(F.count("*"), F.sum("n_shingles")).alias("all"),
+        chunks(F.count_if("apart"), F.sum(F.when(F.col("apart"), F.col("n_shingles")))).alias("few"),
+    )
+    dealt = members.join(sizes, ["band", "key"])
+    place = lambda n: F.pmod(F.xxhash64("rep"), n)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    group, rest = ["band", "key", "i", "j"], ["rep", "component", "main", "bits", "bands"]
+    left = dealt.where("apart").select("band", "key", place(F.col("few")).alias("i"), every("all").alias("j"), F.lit(True).alias("left"), *rest)
+    right = dealt.select("band", "key", every("few").alias("i"), place(F.col("all")).alias("j"), F.lit(False).alias("left"), *rest)
+    both = left.union(right)
+    close = both.repartition(*group).sortWithinPartitions(*group).mapInArrow(_close(most), both.schema)
+    whole = close.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    forest = whole.repartition(*group).sortWithinPartitions(*group).mapInArrow(_forest(words, percent, most), "a long, b long")
+    joined = components(links.union(stored(forest, "links")))
+
+    resolved = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         "high", "low", F.coalesce("component", "rep").alias("component_id")
     )
     return sketch.select("doc_id", "n_shingles", "high", "low").join(resolved, ["high", "low"], "left").select(
