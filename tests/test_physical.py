@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import queries
+from ledgerloom.operators.paging import ordered_limit
 from ledgerloom.sources.tables import where_equal
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -57,6 +58,13 @@ def test_pages_are_numbered_without_a_single_task(spark):
             assert "partial_count(1)" in below  # one row per slice
 
 
+def test_first_rows_are_a_filter_that_reaches_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_orderkey", "o_totalprice")
+    text = ordered_limit(orders, ["o_orderkey"], 700)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "TakeOrdered" not in text and "LessThanOrEqual(o_orderkey" in text
+
+
 def test_bucketed_films_join_without_a_shuffle(spark):
     from ledgerloom.plans.film import save_film_table
     from ledgerloom.session import scratch_dir
