@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,10 +18,12 @@ FEATURES = [
     "boilerplate_ancestor", "article_ancestor", "heading",
 ]
 
+# A quote counts behind an equals sign only, and a tag that is not closed runs to the page's end,
+# so that no place is looked at twice.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)", re.S
 )
-ATTRIBUTE = re.compile(r"(class|id|role|style|aria-hidden|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "title", "textarea", "noscript", "template", "svg", "iframe", "select")}
 INLINE = set(
@@ -30,6 +33,7 @@ INLINE = set(
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"},
           "th": {"td", "th", "p"}, "option": {"option"}}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 STOPS = {"ul", "ol", "dl", "table", "nav", "div", "section", "article", "main", "aside", "footer", "header", "form", "body"}
 BOILERPLATE_TAGS = {"nav", "aside", "footer", "form", "button", "dialog", "menu", "fieldset"}
 BOILERPLATE_NAMES = set(
@@ -39,6 +43,33 @@ BOILERPLATE_NAMES = set(
     "related recommended recommendations trending toolbar pagination pager copyright legal skip contentinfo complementary hidden".split()
 )
 ARTICLE_NAMES = set("article content main post entry story".split())
+# What an article inside is still part of; of other names an inner article or main is free.
+SECONDARY_NAMES = set(
+    "comment comments disqus reply replies respond related recommended recommendations trending sidebar aside widget ad ads adv advert "
+    "adverts advertisement advertising sponsor sponsored sponsors promo promotion".split()
+)
+# Names that only say something about another part, such as has-sidebar.
+ABOUT = set("has with without no not overflow".split())
+# Names that open a compound on any subject, such as share-price, unless its last part is one of a page's fittings.
+SUBJECTS = set("legal share sharing social search alert notice".split())
+FITTINGS = BOILERPLATE_NAMES | set(
+    "area bar block box button buttons container icon icons info item items link links list media message notes page panel post row section "
+    "text this tools wrapper".split()
+)
+
+
+def boilerplate_names(tag: str, value: str, inside: bool) -> set[str]:
+    """The boilerplate names in a class, id or role. An article's header is none, nor is a heading's."""
+    out: set[str] = set()
+    for token in value.split():
+        parts = [p.lower() for p in PART.findall(token)]
+        if not parts or parts[0] in ABOUT or parts[0] in SUBJECTS and parts[-1] not in FITTINGS:
+            continue
+        found = BOILERPLATE_NAMES.intersection(parts)
+        if inside or tag in HEADINGS or ARTICLE_NAMES.intersection(parts):
+            found -= {"header"}
+        out |= found
+    return out
 
 
 @dataclass
@@ -59,47 +90,63 @@ class Block:
 
 @dataclass
 class _Open:
-    """The elements around the reader's place."""
+    """The elements around the reader's place. `bad` counts those that are boilerplate, `free` those
+    that stay so around an inner article."""
 
     names: list[str] = field(default_factory=list)
     bad: list[int] = field(default_factory=list)
+    free: list[int] = field(default_factory=list)
     good: list[int] = field(default_factory=list)
+    counts: Counter = field(default_factory=Counter)
 
     def push(self, tag: str, attributes: str) -> None:
         names: set[str] = set()
-        hidden = False
+        articles = hidden = False
+        inside = bool(self.good and self.good[-1])
         for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
             value = "".join(values)
             name = name.lower()
             if name in ("class", "id", "role"):
-                names.update(p.lower() for p in PART.findall(value))
-            elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or "display:none" in value.replace(" ", "").lower():
+                names |= boilerplate_names(tag, value, inside)
+                articles = articles or any(p.lower() in ARTICLE_NAMES for p in PART.findall(value))
+            elif (
+                name == "hidden" or name == "aria-hidden" and value.lower() == "true"
+                or name == "style" and "display:none" in value.replace(" ", "").lower()
+            ):
                 hidden = True
-        inside = bool(self.good and self.good[-1])
-        if tag in ("html", "body", "main"):
-            bad = False
-        elif tag == "article":
-            bad = bool(names & {"comment", "comments", "reply"})
-        else:
-            bad = hidden or tag in BOILERPLATE_TAGS or tag == "header" and not inside or bool(names & BOILERPLATE_NAMES)
-        good = tag in ("article", "main") or bool(names & ARTICLE_NAMES)
+        bad, free = self.bad[-1] if self.bad else 0, self.free[-1] if self.free else 0
+        if tag in ("article", "main"):
+            bad = free
+        own = firm = False
+        if tag == "article":
+            own = firm = bool(names & {"comment", "comments", "reply"})
+        elif tag not in ("html", "body", "main"):
+            firm = hidden or tag in BOILERPLATE_TAGS or bool(names & SECONDARY_NAMES)
+            own = firm or tag == "header" and not inside or bool(names)
         self.names.append(tag)
-        self.bad.append((self.bad[-1] if self.bad else 0) + bad)
-        self.good.append((self.good[-1] if self.good else 0) + good)
+        self.counts[tag] += 1
+        self.bad.append(bad + own)
+        self.free.append(free + firm)
+        self.good.append((self.good[-1] if self.good else 0) + (tag in ("article", "main") or articles))
+
+    def cut(self, at: int) -> None:
+        self.counts.subtract(self.names[at:])
+        del self.names[at:], self.bad[at:], self.free[at:], self.good[at:]
 
     def pop(self, tag: str) -> None:
         """Closes `tag` and what is still open in it; a stray end tag closes nothing."""
-        if tag in self.names:
-            at = len(self.names) - 1 - self.names[::-1].index(tag)
-            del self.names[at:], self.bad[at:], self.good[at:]
+        if self.counts[tag]:
+            self.cut(len(self.names) - 1 - self.names[::-1].index(tag))
 
     def opening(self, tag: str) -> None:
         """Closes elements that `tag` ends without an end tag."""
         ends = CLOSES.get(tag) or (set() if tag in INLINE else {"p"})
+        if not any(self.counts[name] for name in ends):
+            return
         for at in range(len(self.names) - 1, -1, -1):
             name = self.names[at]
             if name in ends:
-                del self.names[at:], self.bad[at:], self.good[at:]
+                self.cut(at)
             elif name in STOPS:
                 break
 
@@ -138,6 +185,9 @@ def blocks(page: str) -> list[Block]:
             add(page[at : found.start()])
         at = found.end()
         closing, tag, attributes = found.groups()
+        if at == len(page) and page[-1] != ">" and not page.startswith(("<!--", "<![CDATA["), found.start()):
+            add(page[found.start() :])
+            break
         if not tag:
             continue
         tag = tag.lower()
@@ -268,6 +318,10 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     references are decoded, white space in a block becomes one space, blocks are joined by
     one space. A scan without a shuffle.
 
+    An article or main element inside is free of what class, id and role names of outer
+    elements say, unless these name comments, related pieces, sidebars or adverts. A page of
+    any length is read once from left to right; a tag that is never closed is text.
+
     Null or empty html, or no main text: empty text. Null id: left out. Null url: null.
     Repeated rows: a row each. Unclosed elements end with the element around them or the
     page. No pages: no rows.
