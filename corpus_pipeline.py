@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import stages
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import settled
 from ledgerloom.queries.base import table
 
 STAGES = [
@@ -22,8 +22,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces. Each stage is written as Parquet and read back for the next."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The packed pieces. Each stage is written as Parquet and read back for the next; what it
+    read and stored on the way is removed once it is written."""
+
+    def after(stages: int) -> DataFrame:
+        if not stages:
+            return table(spark, sf_dir, "documents")
+        name, stage = STAGES[stages - 1]
+        return settled(spark, lambda: stage(spark, after(stages - 1), sf_dir), name.replace(" ", "-"))
+
+    return STAGES[-1][1](spark, after(len(STAGES) - 1), sf_dir)

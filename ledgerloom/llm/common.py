@@ -6,10 +6,16 @@ empty; columns beside the id and the text are not read, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextvars import ContextVar, copy_context
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.session import scratch_dir
+from ledgerloom.session import remove_dir, scratch_dir
+
+# The folders that the settled() call around has to remove.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
 def texts_of(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -25,10 +31,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     and a lost executor costs a file read, not the work before it."""
     spark: SparkSession = df.sparkSession
     path = scratch_dir(spark, f"llm-{label}")
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """The frame that `make` returns, stored. What `make` stored on the way is removed then, or
+    when it fails, so no other frame that it made can be read any more."""
+    passing: list[str] = []
+    inside = copy_context()
+    inside.run(_passing.set, passing)
+    try:
+        return stored(inside.run(make), label)
+    finally:
+        for path in passing:
+            remove_dir(spark, path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,10 +2,15 @@
 
 All but the last return the columns of `docs`, extra ones included. Rows without an id leave
 in the first stage. Rows that repeat an id and a text stay or go together.
+
+A stage that drops rows stores the ids of those that stay when it is called, and removes what
+its operator stored on the way: the returned frame reads `docs` and these ids alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,32 +18,35 @@ from ledgerloom.queries.base import table
 
 from . import exact_copies as exact
 from . import near_copies as near
-from .common import tokenizer
+from .common import settled, tokenizer
 from .packing import pack
 from .passages import remove_passages
 from .quality import classify_quality
 
 
-def _kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(*docs.columns)
+def _kept(spark: SparkSession, docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    kept = settled(spark, lambda: operator(docs).where("kept").select("doc_id").distinct(), "kept")
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose perplexity is beyond their language's threshold."""
-    scored = classify_quality(docs, table(spark, sf_dir, "labels"))
-    kept = scored.where("kept").select("doc_id", F.col("mark").alias("_mark")).distinct()
+    labels = table(spark, sf_dir, "labels")
+    kept = settled(
+        spark, lambda: classify_quality(docs, labels).where("kept").select("doc_id", F.col("mark").alias("_mark")).distinct(), "kept"
+    )
     marked = docs.withColumn("_mark", F.xxhash64(F.coalesce("text", F.lit(""))))
     return marked.join(kept, ["doc_id", "_mark"], "left_semi").select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one that the operator keeps."""
-    return _kept(docs, exact.exact_copies(docs).where("kept").select("doc_id"))
+    return _kept(spark, docs, exact.exact_copies)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies."""
-    return _kept(docs, near.near_copies(docs).where("kept").select("doc_id"))
+    return _kept(spark, docs, near.near_copies)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
