@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -168,6 +169,25 @@ def _low(order: int) -> Column:
     return F.col("code").bitwiseAND(F.lit((1 << (BITS * order)) - 1))
 
 
+def _languages(counts: dict[int, DataFrame], orders: range) -> DataFrame:
+    """(lang, v, met1.., discounts1..), a row per language: its characters and one, and for each
+    order how many n-grams are counted 1 to 4 times and the discounts of counts 1, 2 and more."""
+    every = [counts[n].select("lang", F.lit(n).alias("n"), "c") for n in orders]
+    of = lambda n, test: F.count_if((F.col("n") == n) & test)
+    sums = reduce(DataFrame.union, every).groupBy("lang").agg(
+        (of(1, F.lit(True)) + 1).alias("v"), *[F.array(*[of(n, F.col("c") == i) for i in (1, 2, 3, 4)]).alias(f"met{n}") for n in orders]
+    )
+    discounts = []
+    for n in orders:
+        met = [F.col(f"met{n}")[i].cast("double") for i in range(4)]
+        y = F.try_divide(met[0], met[0] + 2 * met[1])
+        raws = [i - (i + 1) * y * F.try_divide(met[i], met[i - 1]) for i in (1, 2, 3)]
+        discounts.append(F.array(*[
+            F.when((F.least(*met) > 0) & (raw > 0), raw).otherwise(usual) for raw, usual in zip(raws, USUAL, strict=True)
+        ]).alias(f"discounts{n}"))
+    return stored(sums.select("*", *discounts), "language-counts")
+
+
 def log_losses(grams: DataFrame, order: int) -> DataFrame:
     """(lang, code, loss, facts): -log p of every n-gram in `grams` (block, lang, code, n), where n
     counts it in trusted text and may be 0.
@@ -181,40 +201,34 @@ def log_losses(grams: DataFrame, order: int) -> DataFrame:
     the numbers of n-grams seen once to four times, or are USUAL where one of them is none or
     the estimate is not positive, so that unseen n-grams keep a share. Every step is an aggregation or an
     equality join on (language, n-gram), sharded by that key.
+
+    The counts of each order and the row of each language are stored when this is called: they are
+    read several times, and one plan of all of it is large in the driver.
     """
-    seen = grams.groupBy("lang", "code").agg(F.sum("n").alias("c"))
+    seen = stored(grams.groupBy("lang", "code").agg(F.sum("n").alias("c")), "counts")
     counts = {order: seen.where("c > 0")}
     for n in range(order - 1, 0, -1):
-        counts[n] = counts[n + 1].groupBy("lang", _low(n).alias("code")).agg(F.count("*").alias("c"))
-    sizes = counts[1].groupBy("lang").agg((F.count("*") + 1).alias("v"))
-    out = seen.select("lang", "code").join(sizes, "lang", "left").withColumn("p", 1.0 / F.coalesce("v", F.lit(2)))
-    for n in range(1, order + 1):
-        met = [F.count_if(F.col("c") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
-        y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
-        discounts = counts[n].groupBy("lang").agg(*met).select("lang", F.array(*[F.col(f"n{i}").cast("long") for i in (1, 2, 3, 4)]).alias(f"met{n}"), *[
-            F.when((F.least("n1", "n2", "n3", "n4") > 0) & (raw > 0), raw).otherwise(usual).alias(f"d{i}")
-            for i, usual in zip((1, 2, 3), USUAL, strict=True)
-            for raw in [i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}"))]
-        ])
-        discount = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        before = F.shiftrightunsigned("code", BITS)
-        contexts = (
-            counts[n].join(discounts, "lang").withColumn("d", F.least(discount, F.col("c").cast("double")))
-            .groupBy("lang", before.alias("before")).agg(
-                F.sum("c").alias("total"), F.sum("d").alias("taken"),
-                F.array(F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.count_if(F.col("c") > 2)).alias(f"all{n}"),
-            )
+        counts[n] = stored(counts[n + 1].groupBy("lang", _low(n).alias("code")).agg(F.count("*").alias("c")), "counts")
+    orders = range(1, order + 1)
+    languages = _languages(counts, orders)
+    out = seen.select("lang", "code").join(languages.select("lang", "v"), "lang", "left").withColumn("p", 1.0 / F.coalesce("v", F.lit(2)))
+    for n in orders:
+        taken = counts[n].join(languages.select("lang", F.col(f"discounts{n}").alias("d")), "lang").select(
+            "lang", "code", "c", F.col("d")[F.least("c", F.lit(3)).cast("int") - 1].alias("discount")
         )
-        gram = counts[n].join(discounts, "lang").select("lang", F.col("code").alias("key"), F.col("c").alias(f"c{n}"), F.greatest(F.col("c") - discount, F.lit(0.0)).alias("left"))
+        contexts = taken.groupBy("lang", F.shiftrightunsigned("code", BITS).alias("before")).agg(
+            F.sum("c").alias("total"), F.sum(F.least("discount", F.col("c").cast("double"))).alias("taken"),
+            F.array(F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.count_if(F.col("c") > 2)).alias(f"all{n}"),
+        )
+        gram = taken.select("lang", F.col("code").alias("key"), F.col("c").alias(f"c{n}"), F.greatest(F.col("c") - F.col("discount"), F.lit(0.0)).alias("left"))
         out = (
             out.withColumn("key", _low(n)).withColumn("before", F.shiftrightunsigned("key", BITS))
             .join(gram, ["lang", "key"], "left").join(contexts, ["lang", "before"], "left")
             .withColumn("p", F.when(F.col("total").isNull(), F.col("p")).otherwise(
                 (F.coalesce("left", F.lit(0.0)) + F.col("taken") * F.col("p")) / F.col("total")))
             .drop("key", "before", "left", "total", "taken")
-            .join(discounts.select("lang", f"met{n}"), "lang", "left")
         )
-    orders = range(1, order + 1)
+    out = out.join(languages.select("lang", *[f"met{n}" for n in orders]), "lang", "left")
     facts = F.concat(*[x for n in orders for x in (F.array(f"c{n}"), F.col(f"all{n}"))], *[F.col(f"met{n}") for n in orders], F.array("v"))
     return out.select("lang", "code", (-F.log("p")).alias("loss"), facts.alias("facts"))
 

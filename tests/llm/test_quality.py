@@ -3,7 +3,7 @@
 import pytest
 from samples import prose
 
-from ledgerloom.llm.quality import classify_quality, symbols
+from ledgerloom.llm.quality import classify_quality, log_losses, symbols
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -86,3 +86,10 @@ def test_copies_and_passages_outside_the_model_are_kept(documents, spark):
     labels = spark.createDataFrame([(i, 1) for i in range(12)], "doc_id long, quality int")
     kept = {r.doc_id for r in classify_quality(documents, labels).where("kept").collect()}
     assert {*range(12), 20, 30, 31} <= kept
+
+
+def test_the_plan_of_the_losses_holds_each_count_once(spark):
+    """The driver holds every update of a plan as text, so one that repeats its parts is dear there."""
+    frame = spark.createDataFrame([(0, lang, code, code % 4) for lang in ("en", "de") for code in range(500)], "block int, lang string, code long, n long")
+    plan = log_losses(frame, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") <= 3
