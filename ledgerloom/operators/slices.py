@@ -28,10 +28,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _HELPERS = ("_slice", "_row", "_key")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read back, which cuts its lineage."""
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """The frame written to the shared folder and read back, which cuts its lineage. A caller that
+    removes it gives its path."""
     spark = df.sparkSession
-    path = scratch_dir(spark, label)
+    path = path or scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -89,7 +90,9 @@ def _in_slice(keys: Sequence[str], fills: Sequence[str]):
     return run
 
 
-def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], fills: Sequence[str] = ()) -> DataFrame:
+def sliced(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], fills: Sequence[str] = (), path: str | None = None
+) -> DataFrame:
     """Adds `_slice`, `_row` (rising with the order inside a slice) and `_key`; with keys also
     `_here`, a row's place among its key's rows in the slice, and `_here_<v>` for `fills`.
 
@@ -103,10 +106,10 @@ def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], fills: Sequ
         .withColumns({"_slice": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
     )
     if not keys:
-        return stored(laid_out, "slices").withColumn("_key", F.lit(0))
+        return stored(laid_out, "slices", path).withColumn("_key", F.lit(0))
     added = [T.StructField("_here", T.LongType()), *(T.StructField(f"_here_{v}", df.schema[v].dataType) for v in fills)]
     marked = laid_out.mapInArrow(_in_slice(list(keys), list(fills)), T.StructType([*laid_out.schema.fields, *added]))
-    return stored(marked, "slices").withColumn("_key", F.struct(*keys))
+    return stored(marked, "slices", path).withColumn("_key", F.struct(*keys))
 
 
 def _carried_into(rows: DataFrame, tail: dict, combine: dict) -> DataFrame:
@@ -182,10 +185,11 @@ def running_position(
 
 
 def carry_forward(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], path: str | None = None
 ) -> DataFrame:
-    """A missing value takes the last one present before it in its group."""
-    rows = sliced(df, keys, order, values)
+    """A missing value takes the last one present before it in its group. The slices are stored at
+    `path`, if given, and have to stay until the result has been read."""
+    rows = sliced(df, keys, order, values, path)
     tail = {f"_tail_{v}": F.max_by(v, F.when(F.col(v).isNotNull(), F.col("_row"))) for v in values}
     combine = {f"_in_{v}": F.last(f"_tail_{v}", ignorenulls=True) for v in values}
     carried = _carried_into(rows, tail, combine)

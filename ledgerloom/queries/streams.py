@@ -14,9 +14,10 @@ from ..plans.power import CONTROLLERS, power_output
 from ..plans.telemetry import delivery_text, flat_messages
 from ..session import scratch_dir
 from ..sinks.files import with_date_parts
+from ..streaming.carrying import carry_in_batches, read_carried
 from ..streaming.closing import land_and_close, with_closings
-from ..streaming.runs import file_stream, finish, in_cycles, rocksdb_state, to_table
-from ..streaming.telemetry import alarm_stream, bin_changes, carried, closed_bins
+from ..streaming.runs import file_stream, finish, in_cycles, to_table
+from ..streaming.telemetry import alarm_stream, bin_changes, closed_bins
 from .base import table, with_inputs
 from .series import BIN, BINS_SQL, CARRY_SQL, READINGS, SPARSE, power_sql
 
@@ -82,9 +83,12 @@ def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = carried(_derived(spark, sf_dir, SPARSE), "device", ["ts", "event_id"], ["value", "detail"])
-    with rocksdb_state(spark):
-        return spark.read.schema(filled.schema).parquet(_landed(spark, filled, "stream-carry"))
+    """A third of the messages comes from one device, so they are filled by slices."""
+    arriving, path = _derived(spark, sf_dir, SPARSE), scratch_dir(spark, "stream-carry")
+    finish(
+        carry_in_batches(arriving, f"{path}/table", f"{path}/checkpoint", "device", ["ts", "event_id"], ["value", "detail"])
+    )
+    return read_carried(spark, f"{path}/table", arriving.schema)
 
 
 def stream_power(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,3 +54,9 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Removes a folder below the shared one, where there is one."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    """Makes a folder where there is none, so that it can be read before anything is in it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)

@@ -106,8 +106,8 @@ def carried(messages: DataFrame, device: str, order: Sequence[str], values: Sequ
 
     Messages are taken by `order` (nulls first) within a micro-batch, and batch after batch. The
     state is one row of values per device; a batch writes those of its own devices only. A task
-    holds one device's rows of a micro-batch, whose size the source's rate limits. Start it with
-    `rocksdb_state`.
+    holds one device's rows of a micro-batch, so this is for sources whose rate bounds what a device
+    sends in one; `carry_in_batches` is for any. Start it with `rocksdb_state`.
     """
     schema = messages.schema
     state = T.StructType([schema[v] for v in values])

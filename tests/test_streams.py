@@ -6,8 +6,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from ledgerloom.operators.slices import carry_forward
+from ledgerloom.queries.series import SPARSE
 from ledgerloom.session import scratch_dir
+from ledgerloom.streaming import carrying
 from ledgerloom.streaming.closing import land_and_close, with_closings
 from ledgerloom.streaming.runs import file_stream, finish, in_cycles, rocksdb_state, to_table
 from ledgerloom.streaming.telemetry import alarm_stream, bin_changes, carried, closed_bins
@@ -150,6 +153,86 @@ def test_carried_in_batches_equals_one_pass(spark, landed):
     assert "changelog" in "".join(f for _, _, names in os.walk(f"{work}/c/state") for f in names)
 
 
+CARRIED = "d string, ts timestamp_ntz, id int, v double, w long"
+
+
+def test_carrying_in_batches_equals_one_pass(spark, landed, monkeypatch):
+    monkeypatch.setattr(carrying, "WHOLE_EVERY", 2)
+    data = [
+        [("a", minutes(1), 1, 5.0, 2**60 + 1), ("a", minutes(2), 2, None, None), ("b", minutes(3), 3, None, None), ("z", minutes(3), 4, 8.0, 3)],
+        [("a", minutes(4), 4, None, None), ("b", minutes(5), 5, 6.0, 7), (None, minutes(5), 9, 1.0, None)],
+        [("a", minutes(6), 6, 7.0, None), ("a", None, 7, None, None), ("b", minutes(7), 7, None, None), ("c", minutes(8), 8, None, 1)],
+        [(None, minutes(9), 10, None, None), ("a", minutes(9), 11, None, None)],
+        [("c", minutes(10), 12, None, None), ("a", minutes(10), 13, None, 4)],
+        [("z", minutes(20), 14, None, None), ("a", minutes(11), 15, None, None), ("c", minutes(11), 16, None, None)],
+    ]
+    path, work = landed(CARRIED, *data[:4]), scratch_dir(spark, "carry")
+    stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
+
+    def run():
+        finish(carrying.carry_in_batches(stream, f"{work}/t", f"{work}/c", "d", ["ts", "id"], ["v", "w"]))
+        return rows(carrying.read_carried(spark, f"{work}/t", stream.schema))
+
+    # A message without a time is the first of its own batch, not of all.
+    def want(n):
+        whole = [[(*r, k) for r in part] for k, part in enumerate(data[:n])]
+        frame = spark.createDataFrame(sum(whole, []), f"{CARRIED}, k int")
+        return rows(carry_forward(frame, ["d"], ["k", "ts", "id"], ["v", "w"]).drop("k"))
+
+    assert run() == want(4) and run() == want(4)
+    for part in data[4:]:
+        spark.createDataFrame(part, CARRIED).coalesce(1).write.mode("append").parquet(path)
+    assert run() == want(6) and ("z", minutes(20), 14, 8.0, 3) in run()
+    # The newest whole state and what follows; a batch in between holds its own devices only.
+    assert sorted(os.listdir(f"{work}/c/held")) == ["4", "5"] and not os.path.exists(f"{work}/c/slices")
+    held = {n: {r["d"] for r in spark.read.parquet(f"{work}/c/held/{n}").collect()} for n in (4, 5)}
+    assert held == {4: {"a", "b", "c", "z", None}, 5: {"a", "c", "z"}}
+
+
+def test_a_batch_that_runs_again_replaces_its_own(spark, landed):
+    data = [[("a", minutes(1), 1, 5.0, 1)], [("a", minutes(2), 2, None, 2), ("a", minutes(3), 3, 6.0, None)]]
+    path, work = landed(CARRIED, *data), scratch_dir(spark, "again")
+    stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
+    want = [("a", minutes(1), 1, 5.0, 1), ("a", minutes(2), 2, 5.0, 2), ("a", minutes(3), 3, 6.0, 2)]
+    for _ in range(2):
+        finish(carrying.carry_in_batches(stream, f"{work}/t", f"{work}/c", "d", ["ts", "id"], ["v", "w"]))
+        assert rows(carrying.read_carried(spark, f"{work}/t", stream.schema)) == want
+        # As if the run had ended before the batch was committed.
+        os.remove(f"{work}/c/commits/1")
+        os.remove(f"{work}/c/commits/.1.crc")
+
+
+def test_nothing_arrived_and_nothing_is_carried(spark, landed):
+    path, work = landed(CARRIED, []), scratch_dir(spark, "none")
+    stream = file_stream(spark, path, spark.read.parquet(path).schema, name_filter="none.parquet")
+    finish(carrying.carry_in_batches(stream, f"{work}/t", f"{work}/c", "d", ["ts", "id"], ["v"]))
+    assert rows(carrying.read_carried(spark, f"{work}/t", stream.schema)) == []
+
+
+def test_a_device_with_much_of_a_batch_is_not_one_task(spark, tmp_path):
+    events = spark.range(6000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "1 + id % 40 AS user_id",
+        "CASE WHEN id % 4 = 0 THEN 'click' ELSE 'purchase' END AS event_type", "CAST(id AS DOUBLE) AS value", "CAST(id AS STRING) AS props",
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/made")
+    file = next(f for f in os.listdir(f"{tmp_path}/made") if f.endswith(".parquet"))
+    os.makedirs(f"{tmp_path}/in")
+    os.link(f"{tmp_path}/made/{file}", f"{tmp_path}/in/events.parquet")
+    # Small partitions stay apart, and a file is read by a task of its own: the files show how rows were dealt.
+    apart = {"spark.sql.files.openCostInBytes": "256m", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in apart.items():
+        spark.conf.set(name, value)
+    try:
+        got = queries()["stream_carry"](spark, f"{tmp_path}/in")
+    finally:
+        for name in apart:
+            spark.conf.unset(name)
+    hot = got.where("device = 0").groupBy(F.input_file_name()).count().toPandas()["count"]
+    assert hot.sum() == 2000 and hot.max() < 1200
+    want = carry_forward(spark.sql(SPARSE, events=events), ["device"], ["ts", "event_id"], ["value", "detail"])
+    assert rows(got) == rows(want)
+
+
 def test_cycles_write_a_file_each_and_stop_in_order(spark, landed):
     path, work = landed("id int, day string", [(1, "x"), (2, "x")], [(3, "x"), (4, "y")]), scratch_dir(spark, "cycles")
     stream = file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
