@@ -35,6 +35,16 @@ def test_view_groups_by_hash(spark):
     assert "SortAggregate" not in text and "Expand" not in text
 
 
+def test_view_groups_where_the_schedule_join_left_the_tickets(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(spark, "ticket_sales_view")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffles and not [line for line in shuffles if "ttd_ticket_no" in line]
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan(spark, "numeric_time_filter")
     assert "GreaterThan(o_totalprice,100000.0)" in text and "GreaterThan(o_orderdate" in text

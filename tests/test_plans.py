@@ -1,11 +1,13 @@
 """Whole jobs on small literal tables with their edge rows."""
 
 import datetime as dt
+import time
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import parts
 from ledgerloom.plans import (
     alarms, catalogue, feeds, film, forecast, images, power, refunds, sales_portfolio, snapshots, telemetry,
     ticket_rollups, ticket_view,
@@ -90,6 +92,55 @@ def test_ticket_view_headings_and_duplicate_parents(view):
     assert got.first()["Ticket Amount"] == 20.0
 
 
+def test_ticket_view_in_parts_gives_the_same_rows_and_leaves_no_shuffle_files(spark, frame):
+    days = ["2019-03-05", "5/3/2019", "2019-03-06"]
+    tickets = [
+        ticket(booking=str(n % 40), row=f"R{n % 7}", col=str(n % 5), ttd_show_id=None if n % 31 == 0 else str(n % 12),
+               ttd_show_date=days[n % 3], ttd_film_id=str(n % 4), ttd_tkt_type=f"T{n % 3}", ttd_ticket_no=str(n % 90))
+        for n in range(400)
+    ]
+    schedule = frame(
+        "showid bigint, locid bigint, showdate string, totalseats bigint",
+        *[(n, 1, f"2019-03-0{5 + n % 2} 00:00:00.0", 40 + n) for n in range(13)], (3, 1, "2019-03-05 00:00:00.0", 9), (None, 1, "2019-03-05 00:00:00.0", 9),
+    )
+    tables = (
+        spark.createDataFrame([tuple(t.values()) for t in tickets], TICKET_SCHEMA).repartition(6),
+        frame("trd_booking_id string, trd_row_id string, trd_col_id string", *[(f"{n}.0", f"R{n % 7}", str(n % 5)) for n in range(0, 40, 3)]),
+        frame("film_id bigint, film_film_parent_id double", (1, 3.0), (2, 4.0), (2, 3.0), (3, None)),
+        frame("flm_parent_id bigint", (3,), (3,), (None,)),
+        frame("tkt_type_id string, tkt_type_seat_type string", ("T1", "sofa"), ("T1", "bed"), ("T2", None)),
+        [schedule, schedule.where("showid < 5")],
+    )
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        return {name for name in files.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+    whole = rows(ticket_view.ticket_sales(*tables, headings=False))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffle_files()
+        got = ticket_view.ticket_sales(*tables, parts=5)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for _ in range(100):
+        if not (left := shuffle_files() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert got.columns == list(ticket_view.HEADINGS.values()) and len(whole) > 100 and rows(got) == whole
+    assert spark.conf.get(parts.CLEANUP) == "false"
+
+
+def test_parts_follow_from_the_size_of_the_files(spark, tmp_path):
+    spark.range(100_000).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    joined = df.join(df.withColumnRenamed("id", "other"), F.col("id") == F.col("other"))
+    assert parts.parts_for(df, size) == 1 and parts.parts_for(df, size - 1) == 2 and parts.parts_for(joined, size) == 2
+    assert parts.parts_for(df) == 1 and parts.parts_for(spark.createDataFrame([(1,)], "id int").rdd.toDF()) == 1
+
+
 def test_portfolio_columns_and_flags(frame):
     customers = frame(
         "rid bigint, subscribe_time string, offer_id bigint, offer_price double, affiliate_id bigint, resub bigint,"
